@@ -58,11 +58,15 @@ def _shape(n: int) -> tuple[int, int]:
 
 def encode_ids(ids: np.ndarray) -> tuple[bytes, bytes, list[bytes]]:
     """Frequency table, directory of blocks, and one payload for each block."""
-    symbols, index, counts = np.unique(ids, return_inverse=True, return_counts=True)
-    freq = scaled(counts)
+    counts = np.bincount(ids)
+    symbols = np.flatnonzero(counts)
+    place = np.zeros(len(counts), np.int32)
+    place[symbols] = np.arange(len(symbols), dtype=np.int32)
+    index = place[ids]
+    freq = scaled(counts[symbols])
     start = np.cumsum(freq) - freq
     blocks, steps = _shape(len(ids))
-    padded = np.zeros(blocks * BLOCK_TOKENS, np.int64)
+    padded = np.zeros(blocks * BLOCK_TOKENS, np.int32)
     padded[: len(ids)] = index
     grid = np.ascontiguousarray(padded.reshape(blocks, steps, LANES).transpose(1, 0, 2)).reshape(steps, blocks * LANES)
     live = np.zeros(blocks * BLOCK_TOKENS, bool)
