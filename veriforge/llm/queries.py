@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, packing, rans, simhash, winnowing
+from . import byte_bpe, packing, rans, simhash, suffix_dedup, winnowing
 from .shared import table
 
 
@@ -31,6 +31,10 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.summary(table(spark, sf_dir, "documents"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.clusters(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
@@ -40,6 +44,6 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rans.round_trip(table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), end_id=2)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_winnowing, op3_packing, op4_byte_bpe, op8_simhash, op10_token_files)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_winnowing, op3_packing, op4_byte_bpe, op7_suffix_dedup, op8_simhash, op10_token_files)}
 
 ORACLES: dict[str, str] = {}
