@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, packing, rans, simhash, suffix_dedup, winnowing
+from . import byte_bpe, multi_index, packing, quality, rans, secret_scan, simhash, suffix_dedup, toxicity, winnowing
 from .shared import table
 
 
@@ -21,6 +21,10 @@ def op1_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.compared(table(spark, sf_dir, "documents"))
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.summary(table(spark, sf_dir, "documents"), secret_scan.train(secret_scan.samples(spark)))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), end_id=1)
 
@@ -31,6 +35,14 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.search(table(spark, sf_dir, "embeddings"))
+
+
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.summary(table(spark, sf_dir, "documents"))
 
@@ -40,10 +52,14 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scored(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "posterior", "score", "keep")
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rans.round_trip(table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), end_id=2)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_winnowing, op3_packing, op4_byte_bpe, op7_suffix_dedup, op8_simhash, op10_token_files)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_winnowing, op2_secret_scan, op3_packing, op4_byte_bpe, op5_toxicity, op6_multi_index, op7_suffix_dedup, op8_simhash, op9_quality, op10_token_files)}
 
 ORACLES: dict[str, str] = {}
