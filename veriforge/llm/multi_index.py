@@ -4,8 +4,9 @@ Either half of the vectors has a codebook of its own, fitted on a bounded sample
 the pairs are met in the order of their summed inner products, by a heap over the two sorted lists, until the cells met hold
 enough vectors.  All of their vectors are reranked by the exact inner product of the original vectors.
 
-Cells lie in blocks of at most about BLOCK vectors (a cell with many equal vectors is split by a hash of vec_id), and queries
-travel to the blocks of their cells; each block gives a query's best there, so no two vectors are ever joined as rows.
+Neighbouring cells share a block of about BLOCK vectors (a larger cell is split by a hash of vec_id).  A query travels to the
+blocks of the cells it met, with one bit for each of their cells, and each block gives its best there; no two vectors are ever
+joined as rows.
 """
 
 from __future__ import annotations
@@ -22,10 +23,10 @@ from .shared import materialize
 
 SAMPLE = 20_000
 #: Vectors aimed at in a cell, and bounds of the centroids of a half.
-CELL, LEAST_CENTROIDS, MOST_CENTROIDS = 64, 4, 256
+CELL, LEAST_CENTROIDS, MOST_CENTROIDS = 0.25, 4, 256
 BLOCK = 4096
 #: Share of all vectors that the cells met must hold, and the least number.
-SHARE, LEAST = 0.12, 2000
+SHARE, LEAST = 0.35, 2000
 NEAREST, STEP = 20, 20
 ROUNDS = 12
 
@@ -103,7 +104,17 @@ def search(embeddings: DataFrame, step: int = STEP, nearest: int = NEAREST, shar
     for r in index.groupBy("cell").count().collect():  # bounded: MOST_CENTROIDS ** 2
         held[r[0]] = r[1]
     enough = max(LEAST, int(share * n), nearest + 1)
-    parts = -(-held // BLOCK)
+    # cells in a row share a block while it has room; a cell beyond BLOCK has one of its own, in parts
+    block_of, start, room = np.zeros(len(held), np.int64), [0], BLOCK
+    for c, m in enumerate(held.tolist()):
+        if m > room and room < BLOCK:
+            start.append(c)
+            room = BLOCK
+        block_of[c] = len(start) - 1
+        room -= m
+    end = np.array([*start[1:], len(held)])
+    start_of = np.array(start)
+    parts = np.maximum(1, -(-np.add.reduceat(held, start_of) // BLOCK))
 
     def route(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -111,28 +122,36 @@ def search(embeddings: DataFrame, step: int = STEP, nearest: int = NEAREST, shar
                 continue
             x = _matrix(b.column(1))
             one, two = x[:, :half] @ books[0].T, x[:, half:] @ books[1].T
-            row, cell, part = [], [], []
+            row, block, part, bits = [], [], [], []
             for i in range(len(x)):
-                for c in traverse(one[i], two[i], held, enough):
-                    for s in range(int(parts[c])):
+                met = np.zeros(len(held), bool)
+                met[traverse(one[i], two[i], held, enough)] = True
+                for k in np.unique(block_of[np.flatnonzero(met)]).tolist():
+                    own = np.packbits(met[start_of[k] : end[k]]).tobytes()
+                    for s in range(int(parts[k])):
                         row.append(i)
-                        cell.append(c)
+                        block.append(k)
                         part.append(s)
-            at = pa.array(row, pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(cell, pa.int32()), pa.array(part, pa.int32()), b.column(0).take(at), b.column(1).take(at)], ["cell", "part", "query_id", "query"])
+                        bits.append(own)
+                if len(row) >= 2048 or i == len(x) - 1:
+                    at = pa.array(row, pa.int32())
+                    yield pa.RecordBatch.from_arrays([pa.array(block, pa.int32()), pa.array(part, pa.int32()), b.column(0).take(at), b.column(1).take(at), pa.array(bits, pa.binary())], ["block", "part", "query_id", "query", "cells"])
+                    row, block, part, bits = [], [], [], []
 
     def best(queries: pa.Table, entries: pa.Table) -> pa.Table:
-        ids, who, rows = [], [], []
+        ids, who, scores = [], [], []
         if queries.num_rows and entries.num_rows:
+            k = queries.column("block")[0].as_py()
             e = entries.column("vec_id").to_numpy()
             order = np.argsort(e, kind="stable")
             e, x = e[order], _matrix(entries.column("embedding").combine_chunks())[order]
-            q, y = queries.column("query_id").to_numpy(), _matrix(queries.column("query").combine_chunks())
-            for lo in range(0, len(q), 512):
-                s = y[lo : lo + 512] @ x.T
-                for i in range(len(s)):
-                    own = e != q[lo + i]
-                    v, w = s[i][own], e[own]
+            place_in = entries.column("cell").to_numpy()[order] - start[k]
+            q, y, cells = queries.column("query_id").to_numpy(), _matrix(queries.column("query").combine_chunks()), queries.column("cells").to_pylist()
+            for lo in range(0, len(q), 256):
+                dots = y[lo : lo + 256] @ x.T
+                for i, s in enumerate(dots):
+                    met = np.unpackbits(np.frombuffer(cells[lo + i], np.uint8))[place_in].astype(bool) & (e != q[lo + i])
+                    v, w = s[met], e[met]
                     if len(v) > nearest:
                         edge = np.partition(v, len(v) - nearest)[len(v) - nearest]
                         sure, tied = np.flatnonzero(v > edge), np.flatnonzero(v == edge)
@@ -140,14 +159,14 @@ def search(embeddings: DataFrame, step: int = STEP, nearest: int = NEAREST, shar
                         v, w = v[take], w[take]
                     ids.append(np.full(len(v), q[lo + i]))
                     who.append(w)
-                    rows.append(v)
+                    scores.append(v)
         cat = lambda z, t: np.concatenate(z).astype(t) if z else np.zeros(0, t)
-        return pa.table([pa.array(cat(ids, np.int64)), pa.array(cat(who, np.int64)), pa.array(cat(rows, np.float64))], ["query_id", "vec_id", "score"])
+        return pa.table([pa.array(cat(ids, np.int64)), pa.array(cat(who, np.int64)), pa.array(cat(scores, np.float64))], ["query_id", "vec_id", "score"])
 
-    routed = good.where(F.col("vec_id") % step == 0).mapInArrow(route, "cell int, part int, query_id long, query array<double>")
-    split = F.element_at(F.expr("array(" + ",".join(map(str, np.maximum(parts, 1).tolist())) + ")"), F.col("cell") + 1) if (parts > 1).any() else F.lit(1)
-    blocks = index.withColumn("part", F.pmod(F.xxhash64("vec_id"), split).cast("int"))
-    found = routed.groupBy("cell", "part").cogroup(blocks.groupBy("cell", "part")).applyInArrow(best, "query_id long, vec_id long, score double")
+    routed = good.where(F.col("vec_id") % step == 0).mapInArrow(route, "block int, part int, query_id long, query array<double>, cells binary")
+    numbers = spark.createDataFrame([(c, int(block_of[c]), int(parts[block_of[c]])) for c in np.flatnonzero(held).tolist()], "cell int, block int, parts int")
+    blocks = index.join(F.broadcast(numbers), "cell").withColumn("part", F.pmod(F.xxhash64("vec_id"), "parts").cast("int"))  # bounded: a row for each cell
+    found = routed.groupBy("block", "part").cogroup(blocks.groupBy("block", "part")).applyInArrow(best, "query_id long, vec_id long, score double")
     by = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.distinct().withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= nearest)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

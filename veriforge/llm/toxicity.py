@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 
 TRAIN_ROWS = 20_000
 LEXICON = 300
-#: A word must stand in so many toxic training texts, and be so much likelier there (log of the ratio of shares).
-LEAST_TEXTS, LEAST_LOG_RATIO = 4, 1.5
+#: A word must stand in so many toxic training texts and in such a share of them, and be so much likelier there (log of the ratio of shares).
+LEAST_TEXTS, LEAST_SHARE, LEAST_LOG_RATIO = 4, 0.015, 1.5
 NEAR = 3
 ROUNDS, DEPTH, RATE, BINS, LEAST_LEAF = 80, 3, 0.15, 32, 10.0
 
@@ -184,7 +184,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     counted = sample.mapInArrow(count, "word string, bad long, good long").groupBy("word").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
     counts = {r.word: (r.bad, r.good) for r in counted.where(f"word = '' OR bad >= {LEAST_TEXTS}").collect()}
     bad, good = counts.pop("", (0, 0))
-    ratio = {w: math.log((b + 0.5) / (bad + 1)) - math.log((g + 0.5) / (good + 1)) for w, (b, g) in counts.items() if len(w) > 2}
+    ratio = {w: math.log((b + 0.5) / (bad + 1)) - math.log((g + 0.5) / (good + 1)) for w, (b, g) in counts.items() if len(w) > 2 and b >= LEAST_SHARE * bad}
     best = sorted((w for w in ratio if ratio[w] >= LEAST_LOG_RATIO), key=lambda w: (-ratio[w] * math.sqrt(counts[w][0]), w))[:LEXICON]
     lexicon = {w: ratio[w] for w in best}
     got = sample.mapInArrow(rest, "doc_id long, toxic long, x binary").collect()
