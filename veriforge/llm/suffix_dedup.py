@@ -106,8 +106,8 @@ def _dealt(key: np.ndarray, rows: np.ndarray) -> Iterator[tuple[int, bytes]]:
 
 
 def _doc_buckets(df: DataFrame) -> int:
-    """An odd number, so that ids with a common factor spread."""
-    return 4 * partitions(df.sparkSession) + 1
+    """An odd number, so that ids with a common factor spread.  Blocks are tasks times buckets at most, so there are few."""
+    return 2 * partitions(df.sparkSession) | 1
 
 
 def _bucket(doc: np.ndarray, n: int) -> np.ndarray:
