@@ -52,7 +52,7 @@ def measured(text: str) -> list[float]:
         twice / m,
         len(set(lines)) / max(1, len(lines)),
         text.count("|") / m,
-        (len(text) - m) / m,
+        max(0, len(text) - m) / m,
         len(words),
     ]
 

@@ -117,7 +117,8 @@ def _meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 hot.append(fp[b : b + n])
             else:
                 pairs += forest(fp[b : b + n])
-        yield out(np.concatenate([x[near], [p[0] for p in pairs]]), np.concatenate([y[near], [p[1] for p in pairs]]), np.concatenate(hot))
+        more = np.array(pairs, np.int64).reshape(-1, 2)  # a list would make floats of all
+        yield out(np.concatenate([x[near], more[:, 0]]), np.concatenate([y[near], more[:, 1]]), np.concatenate(hot))
 
     held_k, held_f, large = np.zeros(0, np.int64), np.zeros(0, np.int64), None
     for batch in batches:
