@@ -23,10 +23,10 @@ from .shared import materialize
 
 SAMPLE = 20_000
 #: Vectors aimed at in a cell, and bounds of the centroids of a half.
-CELL, LEAST_CENTROIDS, MOST_CENTROIDS = 0.25, 4, 256
+CELL, LEAST_CENTROIDS, MOST_CENTROIDS = 0.6, 4, 128
 BLOCK = 4096
 #: Share of all vectors that the cells met must hold, and the least number.
-SHARE, LEAST = 0.35, 2000
+SHARE, LEAST = 0.4, 2000
 NEAREST, STEP = 20, 20
 ROUNDS = 12
 
