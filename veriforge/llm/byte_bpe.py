@@ -147,7 +147,7 @@ class Codec:
 
         self.vocabulary, self.find = vocabulary, regex.compile(pattern).findall
         self.pieces: dict[str, bytes] = {}
-        self.cached = CachedEncoder(self._segments, spaced=True)
+        self.cached = CachedEncoder(self._segments, spaced=True, width=4)
         n = 1 + max(vocabulary.token, default=0)
         self.number = [str(i) for i in range(n)]
         self.bytes = [vocabulary.token.get(i, b"") for i in range(n)]
@@ -169,8 +169,8 @@ class Codec:
                 out += ids
             yield out
 
-    def encode(self, texts: list[str | None]) -> list[list[int]]:
-        return [np.frombuffer(b, "<u4").tolist() for b in self.cached.batch(texts)]
+    def encode(self, texts: list[str | None] | pa.Array) -> list[list[int]]:
+        return [np.frombuffer(b, "<u4").tolist() for b in self.cached.batch(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()))]
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes.__getitem__, ids))
@@ -192,9 +192,9 @@ def encoded(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", te
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path, pattern)
         for b in batches:
-            keys, texts = b.column(0), b.column(1).to_pylist()
+            keys, texts = b.column(0), b.column(1)
             for lo, hi in slices(texts):
-                yield pa.RecordBatch.from_arrays([keys.slice(lo, hi - lo), pa.array(c.encode(texts[lo:hi]), pa.list_(pa.int32()))], ["id", "ids"])
+                yield pa.RecordBatch.from_arrays([keys.slice(lo, hi - lo), pa.array(c.encode(texts.slice(lo, hi - lo)), pa.list_(pa.int32()))], ["id", "ids"])
 
     d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
     return d.mapInArrow(run, f"id {dict(d.dtypes)['id']}, ids array<int>")
@@ -207,10 +207,10 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path, pattern)
         for b in batches:
-            keys, texts = b.column(0), b.column(1).to_pylist()
+            keys, texts = b.column(0), b.column(1)
             for lo, hi in slices(texts):
                 n, a, d = [], [], []
-                for ids in c.encode(texts[lo:hi]):
+                for ids in c.encode(texts.slice(lo, hi - lo)):
                     n.append(len(ids))
                     a.append(hashlib.sha256(" ".join(map(c.number.__getitem__, ids)).encode()).hexdigest())
                     d.append(hashlib.sha256(c.decode(ids)).hexdigest())

@@ -29,9 +29,9 @@ def tokenised(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok, end, part, before = library_encoder(vocabulary, spaced=False), np.array([end_id], "<u2").tobytes(), TaskContext.get().partitionId(), 0
         for b in batches:
-            keys, texts = b.column(0), b.column(1).to_pylist()
+            keys, texts = b.column(0), b.column(1)
             for lo, hi in slices(texts):
-                ids = [x + end for x in tok.batch(texts[lo:hi])]
+                ids = [x + end for x in tok.batch(texts.slice(lo, hi - lo))]
                 n = np.array([len(x) // 2 for x in ids], np.int64)
                 starts = before + np.cumsum(n) - n
                 before += int(n.sum())

@@ -176,9 +176,9 @@ def write_files(docs: DataFrame, vocabulary: str, end_id: int, file_tokens: int
             return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([file_no], pa.int32()), pa.array([first], pa.int64()), pa.array([held], pa.int64()), pa.array([data], pa.binary())], ["range_no", "file_no", "first", "n_tokens", "data"])
 
         for b in batches:
-            rows, ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()
+            rows, ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)
             for lo, hi in slices(texts):
-                for r, k, enc in zip(rows[lo:hi], ids[lo:hi], tok.batch(texts[lo:hi]), strict=True):
+                for r, k, enc in zip(rows[lo:hi], ids[lo:hi], tok.batch(texts.slice(lo, hi - lo)), strict=True):
                     if keys and (r != now or held >= file_tokens):
                         yield flush()
                         file_no, first = (file_no + 1, first + held) if r == now else (0, 0)

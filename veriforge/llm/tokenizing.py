@@ -3,19 +3,26 @@
 A word-level cache needs cut points at which the tokenizer itself always cuts:
 
 * byte-level BPE (the pattern " ?letters| ?digits| ?others|spaces"): a space that stands before a character other than
-  white space always opens a new piece, whatever stands before it.  Text is cut there and nowhere else.
+  white space always opens a new piece, whatever stands before it.  Text is cut there, and before single line feeds between
+  characters other than white space.
 * word BPE with white space dropped: no piece holds white space, and neither NFC nor lower-casing looks across it.
+* both: a run of letters ends a piece where an ASCII character other than a letter follows (NFC composes nothing there).
 
-Ids of a segment always come from the library itself; only segments that the cache lacks are encoded, a batch at a time.
-The cache is bounded, so memory does not grow with the input.
+Texts are cut and their segments numbered by Arrow, so Python meets each segment once a slice.  Ids of a segment always come
+from the library itself; only what the cache lacks is encoded, a slice at a time.  The cache is bounded, so memory does not
+grow with the input.
 """
 
 from __future__ import annotations
 
 import os
 import re
-from collections.abc import Callable, Iterable
-from itertools import compress
+from collections.abc import Callable, Iterable, Iterator
+from itertools import filterfalse
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Bound of each generation of a worker's cache; an entry takes about 200 bytes.
 CACHE_ENTRIES = 550_000
@@ -25,6 +32,8 @@ RARE_SPACE = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0" + "".join(map(chr, (0x1680,
 _ASCII_RARE = RARE_SPACE[:8]
 _BEFORE_WORD = re.compile(r" (?=\S)")
 _SPACES = re.compile(f"[\n {RARE_SPACE.translate(dict.fromkeys(range(0x1C, 0x20)))}]+")
+#: A line feed or none, letters of ASCII and Latin-1, and what follows from an ASCII character other than a letter on.
+_PARTS = re.compile(r"(\n?)([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)((?:[\x21-\x40\x5b-\x60\x7b-\x7e].*)?)", re.DOTALL).fullmatch
 
 
 def space_segments(text: str) -> list[str]:
@@ -42,99 +51,176 @@ def words(text: str) -> list[str]:
 
 
 class CachedEncoder:
-    """Little-endian ids of whole texts as bytes.  spaced: segments are cut before spaces, and each but the first begins with one.
+    """Little-endian ids of whole texts as bytes, width bytes an id.  spaced: byte-level BPE, where segments are cut before
+    spaces and line feeds and each but the first begins with one; else word BPE.
 
     The cache has two generations of at most `entries` segments.  A full one becomes the old one, from which what is met
     again moves on, so frequent segments stay.
     """
 
-    def __init__(self, encode: Callable[[list[str]], Iterable[bytes]], spaced: bool, entries: int = CACHE_ENTRIES):
-        self.encode, self.spaced, self.entries = encode, spaced, entries
-        self.first: dict[str, bytes] = {}
-        self.rest: dict[str, bytes] = {}
+    def __init__(self, encode: Callable[[list[str]], Iterable[bytes]], spaced: bool, width: int, entries: int = CACHE_ENTRIES):
+        self.encode, self.spaced, self.width, self.entries = encode, spaced, width, entries
+        self.first: dict[str, bytes] = {}  # segments without a space before them
+        self.rest: dict[str, bytes] = {"": b""}
         self.old: dict[str, bytes] = {}
+        border = "  | \n|\n |\n\n|[ \n]\\z|" if spaced else ""
+        self.uneven = f"{border}[{RARE_SPACE}]"
 
-    def _fill(self, cache: dict[str, bytes], old: dict[str, bytes], wanted: set[str], lead: str) -> None:
-        missing = wanted.difference(cache)
-        if again := missing.intersection(old):
-            cache.update(zip(again, map(old.__getitem__, again), strict=True))
-            missing -= again
-        if missing:
-            new = list(missing)
+    def _put(self, cache: dict[str, bytes], wanted: set[str], lead: str) -> None:
+        if new := list(wanted.difference(cache)):
             cache.update(zip(new, self.encode([lead + w for w in new]), strict=True))
 
-    def batch(self, texts: list[str | None]) -> list[bytes]:
+    def _fill(self, wanted: Iterable[str]) -> None:
+        """Ids of segments to self.rest: of their letters and of what follows these apart, as there are far fewer of each."""
+        rest, old = self.rest, self.old
+        missing = list(filterfalse(rest.__contains__, wanted))
+        if again := [w for w in missing if w in old]:
+            rest.update(zip(again, map(old.__getitem__, again), strict=True))
+            missing = [w for w in missing if w not in old]
+        if not missing:
+            return
+        bare = self.first if self.spaced else rest
+        led, unled, split = set(), set(), []
+        for w in missing:
+            if (m := _PARTS(w)) is None:
+                (unled if w[0] == "\n" else led).add(w)
+                continue
+            feed, head, tail = m.groups()
+            if not self.spaced:
+                head = head.lower()
+            if (head if feed or tail else w) != w or not self.spaced:
+                split.append((w, feed, head, tail))
+                if tail:
+                    unled.add(tail)
+            if feed:
+                unled.update((feed, head))
+            elif head not in old or head in rest:
+                led.add(head)
+            else:
+                rest[head] = old[head]
+        self._put(rest, led, " " if self.spaced else "")
+        self._put(bare, unled, "")
+        for w, feed, head, tail in split:
+            ids = bare[feed] + bare[head] if feed else rest[head]
+            rest[w] = ids + bare[tail] if tail else ids
+        if self.spaced:
+            rest.update((w, bare[w]) for w in unled if w[0] == "\n")
+
+    def batch(self, texts: pa.Array) -> list[bytes]:
         """Ids of each text (null: empty)."""
         if len(self.rest) > self.entries:
-            self.old, self.rest = self.rest, {}
-        if len(self.first) > self.entries // 10:
+            self.old, self.rest = self.rest, {"": b""}
+        if len(self.first) > self.entries // 5:
             self.first.clear()
+        texts = pc.fill_null(texts, "")
+        uneven = pc.match_substring_regex(texts, self.uneven)
+        if not (n := pc.sum(uneven).as_py()):
+            return self._columns(texts)
+        others = iter(self._rows(texts.filter(uneven).to_pylist()))
+        evens = iter(self._columns(texts.filter(pc.invert(uneven))) if n < len(texts) else ())
+        return [next(others if u else evens) for u in uneven.to_pylist()]
+
+    def _columns(self, texts: pa.Array) -> list[bytes]:
+        """Texts with no white space but single spaces and line feeds (spaced), or but those (otherwise)."""
+        if not len(texts):
+            return []
+        lists = pc.split_pattern(pc.replace_substring(texts, "\n", " \n" if self.spaced else " "), " ")
+        flat, ends = lists.values, lists.offsets.to_numpy()
+        heads = None
+        if self.spaced:
+            heads = flat.take(pa.array(ends[:-1])).to_pylist()
+            self._put(self.first, {h for h in heads if h}, "")
+            tail = np.ones(len(flat), bool)
+            tail[ends[:-1]] = False
+            flat, ends = flat.filter(pa.array(tail)), ends - np.arange(len(ends))
+        numbered = flat.dictionary_encode()
+        found = numbered.dictionary.to_pylist()
+        self._fill(found)
+        known = list(map(self.rest.__getitem__, found))
+        pool = np.frombuffer(b"".join(known), f"<u{self.width}")
+        size = np.fromiter(map(len, known), np.int64, len(known)) // self.width
+        index = numbered.indices.to_numpy()
+        each = size[index]
+        upto = np.concatenate([[0], np.cumsum(each)])
+        at = np.repeat((np.cumsum(size) - size)[index] - upto[:-1], each)
+        at += np.arange(len(at))
+        raw = pool[at].tobytes()
+        cut = (upto[ends] * self.width).tolist()
+        out = [raw[b:e] for b, e in zip(cut, cut[1:], strict=False)]
+        return [self.first[h] + b if h else b for h, b in zip(heads, out, strict=True)] if heads else out
+
+    def _rows(self, texts: list[str]) -> list[bytes]:
+        """Any texts."""
         split = [(space_segments(t) if self.spaced else words(t)) if t else [] for t in texts]
+        heads = [x[0] if x and self.spaced else "" for x in split]
         if self.spaced:
-            heads = [x[0] if x else "" for x in split]
-            self._fill(self.first, {}, {h for h in heads if h}, "")
+            self._put(self.first, {h for h in heads if h}, "")
             for x in split:
                 del x[:1]
-        self._fill(self.rest, self.old, set().union(*split), " " if self.spaced else "")
+        self._fill(set().union(*split))
         get = self.rest.__getitem__
-        out = [b"".join(map(get, x)) for x in split]
-        return [self.first[h] + b if h else b for h, b in zip(heads, out, strict=True)] if self.spaced else out
+        return [(self.first[h] if h else b"") + b"".join(map(get, x)) for h, x in zip(heads, split, strict=True)]
 
 
 def library_encoder(vocabulary: str, spaced: bool) -> CachedEncoder:
     """The tokenizers library on the JSON file vocabulary, without special tokens, as unsigned 16-bit ids.
 
-    Many segments go through the library as one text, which costs half of one call each.  Their borders show in the ids: with
-    spaced, a segment's first token alone begins with a space; without, a word of one known token stands between any two.
+    Many segments go through the library as one text, which costs half of one call each.  Their borders show in the ids: of
+    segments after a space, the first token alone begins with a space; between others stands a token that none of them holds.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    import numpy as np
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(vocabulary)
     t.encode_special_tokens = True
     if t.get_vocab_size() > 65_536:
         raise ValueError("16-bit ids can't hold this vocabulary")
-    opens = np.zeros(65_536, bool)
-    mark, between = " ", "|"
+
+    def ids(text: str) -> np.ndarray:
+        return np.array(t.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u2")
+
+    between = "\n" if spaced else " | "
+    mark = between.strip(" ")
+    opens, borders = np.zeros(65_536, bool), np.zeros(65_536, bool)
+    (border,) = ids(between).tolist()
+    borders[border] = True
     if spaced:
         space = t.encode(" ", add_special_tokens=False).tokens[0]
         opens[[i for token, i in t.get_vocab().items() if token.startswith(space)]] = True
-    else:
-        (bar,) = t.encode(between, add_special_tokens=False).ids
-        opens[bar] = True
-
-    def plain(s: str) -> bool:
-        return s.rfind(mark) == 0 and len(s) > 1 and "\n" not in s if spaced else between not in s
 
-    def ids(text: str) -> np.ndarray:
-        return np.array(t.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u2")
+    def kind(s: str) -> int:
+        """1: one space, then no other space or line feed; 2: no line feed or space (spaced) or bar; 0: goes alone."""
+        if mark in s:
+            return 0
+        if s.rfind(" ") >= 0:
+            return int(s.rfind(" ") == 0 and len(s) > 1 and spaced)
+        return 0 if not s or s[0].isspace() or s[-1].isspace() else 2
+
+    def joint(some: list[str], led: bool) -> Iterator[bytes]:
+        found = ids("".join(some) if led else between.join(["", *some]))
+        at = np.flatnonzero((opens if led else borders)[found])
+        if len(at) != len(some):
+            raise AssertionError("segments can't be told apart")
+        at, raw, skip = [*at.tolist(), len(found)], found.tobytes(), 0 if led else 1
+        return iter([raw[2 * (b + skip) : 2 * e] for b, e in zip(at, at[1:], strict=False)])
 
     def encode(segments: list[str]) -> Iterable[bytes]:
         for i in range(0, len(segments), 1024):
             some = segments[i : i + 1024]
-            simple = list(map(plain, some))
-            joint = list(compress(some, simple))
-            found = ids("".join(joint) if spaced else "".join(f" {between} {s}" for s in joint))
-            at = np.flatnonzero(opens[found])
-            if len(at) != len(joint):
-                raise AssertionError("segments can't be told apart")
-            at, raw = [*at.tolist(), len(found)], found.tobytes()
-            skip = 0 if spaced else 1
-            own = iter([raw[2 * (b + skip) : 2 * e] for b, e in zip(at, at[1:], strict=False)])
-            for s, p in zip(some, simple, strict=True):
-                yield next(own) if p else ids(s).tobytes()
-
-    return CachedEncoder(encode, spaced)
-
-
-def slices(texts: list, size: int = 1 << 20) -> Iterable[tuple[int, int]]:
-    """Ranges of texts of about size characters: memory follows neither the batch nor the longest texts' number."""
-    begin = held = 0
-    for i, t in enumerate(texts):
-        held += len(t or "")
-        if held >= size:
-            yield begin, i + 1
-            begin, held = i + 1, 0
-    if begin < len(texts):
-        yield begin, len(texts)
+            kinds = list(map(kind, some))
+            own = [iter(()), *(joint(x, led) if (x := [s for s, k in zip(some, kinds, strict=True) if k == n]) else iter(()) for n, led in ((1, True), (2, False)))]
+            for s, k in zip(some, kinds, strict=True):
+                yield next(own[k]) if k else ids(s).tobytes()
+
+    return CachedEncoder(encode, spaced, width=2)
+
+
+def slices(texts: pa.Array, size: int = 1 << 23) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about size bytes: memory follows neither the batch nor the longest texts' number."""
+    upto = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    begin = 0
+    while begin < len(upto):
+        before = int(upto[begin - 1]) if begin else 0
+        end = min(len(upto), int(np.searchsorted(upto, before + size)) + 1)
+        yield begin, end
+        begin = end
