@@ -27,7 +27,7 @@ def made(n: int, seed: int) -> list:
 def test_ids_are_the_librarys(name, spaced):
     t = Tokenizer.from_file(public_tokenizers.path(name))
     t.encode_special_tokens = True
-    enc = library_encoder(public_tokenizers.path(name), spaced)
+    enc = library_encoder.__wrapped__(public_tokenizers.path(name), spaced)
     enc.entries = 60  # the generations turn
     texts = made(3000, 1)
     found = [b for lo in range(0, len(texts), 500) for b in enc.batch(pa.array(texts[lo : lo + 500], pa.string()))]
