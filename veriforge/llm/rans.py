@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import NULL_KEY, materialize, ranges
+from .shared import NULL_KEY, giving_back, materialize, ranges
 from .tokenizing import library_encoder, slices
 
 SCALE = 20
@@ -192,7 +192,7 @@ def write_files(docs: DataFrame, vocabulary: str, end_id: int, file_tokens: int
             yield flush()
 
     ordered = ranged.repartition("range_no").sortWithinPartitions("range_no", "order_key", "text").select("range_no", "order_key", "text")
-    return ordered.mapInArrow(run, "range_no int, file_no int, first long, n_tokens long, data binary")
+    return ordered.mapInArrow(giving_back(run), "range_no int, file_no int, first long, n_tokens long, data binary")
 
 
 def read_files(files: DataFrame) -> DataFrame:

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .grams import _mixed, gram_hashes, window_minima
-from .shared import NULL_KEY, materialize, partitions
+from .shared import NULL_KEY, giving_back, materialize, partitions
 
 DEPTH = 50
 GRAM = 25
@@ -300,8 +300,8 @@ def _marks(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     n_anchor, n_docs = partitions(spark), _doc_buckets(docs)
     blocks = "p int, kind int, block binary"
-    found = docs.select("doc_id", "text").mapInArrow(lambda it: _find(it, n_anchor), blocks)
-    sorted_ = found.repartition(n_anchor, "p").sortWithinPartitions("p").mapInArrow(lambda it: _digits(it, n_docs), blocks)
+    found = docs.select("doc_id", "text").mapInArrow(giving_back(lambda it: _find(it, n_anchor)), blocks)
+    sorted_ = found.repartition(n_anchor, "p").sortWithinPartitions("p").mapInArrow(giving_back(lambda it: _digits(it, n_docs)), blocks)
     digits = materialize(sorted_, "suffix-digits")
     _release(spark)
 
@@ -328,7 +328,7 @@ def _marks(docs: DataFrame) -> DataFrame:
             yield _block_rows([(q, 0, x) for q, x in _dealt(_bucket(rows["doc"], n_docs), rows)])
 
     fetched = digits.where("kind = 1").groupBy("p").cogroup(_dealt_texts(docs, n_docs).groupBy("p")).applyInArrow(fetch, blocks)
-    deep = materialize(fetched.repartition("p").sortWithinPartitions("p").mapInArrow(radix, blocks), "suffix-radix")
+    deep = materialize(fetched.repartition("p").sortWithinPartitions("p").mapInArrow(giving_back(radix), blocks), "suffix-radix")
     _release(spark)
     return digits.where("kind = 0").union(deep)
 

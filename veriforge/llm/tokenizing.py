@@ -18,14 +18,13 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Callable, Iterable, Iterator
-from functools import cache
 from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Bound of each generation of a worker's cache; an entry takes about 200 bytes.
+#: Bound of each generation of a task's cache; an entry takes about 200 bytes.
 CACHE_ENTRIES = 450_000
 
 #: White space other than a space or a line feed, of Unicode or of Python's str methods.
@@ -163,9 +162,8 @@ class CachedEncoder:
         return [(self.first[h] if h else b"") + b"".join(map(get, x)) for h, x in zip(heads, split, strict=True)]
 
 
-@cache
 def library_encoder(vocabulary: str, spaced: bool) -> CachedEncoder:
-    """One encoder for each worker process: the tokenizers library on the JSON file vocabulary, without special tokens, as unsigned 16-bit ids.
+    """One task's encoder: the tokenizers library on the JSON file vocabulary, without special tokens, as unsigned 16-bit ids.
 
     Many segments go through the library as one text, which costs half of one call each.  Their borders show in the ids: of
     segments after a space, the first token alone begins with a space; between others stands a token that none of them holds.
