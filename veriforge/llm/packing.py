@@ -17,8 +17,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import giving_back, materialize
-from .tokenizing import library_encoder, slices
+from .shared import materialize
+from .tokenizing import worker_encoder, slices
 
 WINDOW = 2048
 
@@ -27,7 +27,7 @@ def tokenised(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
     """doc_id, part, before (ids before the document in its partition), n_tokens, ids (little-endian 16 bits), written once."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok, end, part, before = library_encoder(vocabulary, spaced=False), np.array([end_id], "<u2").tobytes(), TaskContext.get().partitionId(), 0
+        tok, end, part, before = worker_encoder(vocabulary, spaced=False), np.array([end_id], "<u2").tobytes(), TaskContext.get().partitionId(), 0
         for b in batches:
             keys, texts = b.column(0), b.column(1)
             for lo, hi in slices(texts):
@@ -37,7 +37,7 @@ def tokenised(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
                 before += int(n.sum())
                 yield pa.RecordBatch.from_arrays([keys.slice(lo, hi - lo), pa.array([part] * len(n), pa.int32()), pa.array(starts), pa.array(n), pa.array(ids, pa.binary())], ["doc_id", "part", "before", "n_tokens", "ids"])
 
-    return materialize(docs.select("doc_id", "text").mapInArrow(giving_back(run), "doc_id long, part int, before long, n_tokens long, ids binary"), "packing-ids")
+    return materialize(docs.select("doc_id", "text").mapInArrow(run, "doc_id long, part int, before long, n_tokens long, ids binary"), "packing-ids")
 
 
 def pack(docs: DataFrame, vocabulary: str, end_id: int = 1, window: int = WINDOW) -> DataFrame:

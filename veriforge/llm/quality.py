@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import giving_back
+
 #: Rows on which the scorer is fitted: those whose hashed doc_id is least.
 TRAIN_ROWS = 3000
 SHAPES, BYTES, MEASURES = 4096, 1024, 256
@@ -136,7 +138,7 @@ def patterns(docs: DataFrame) -> dict[tuple[int, ...], int]:
             seen.update(",".join(map(str, votes(measured(t.as_py() or "")))) for t in b.column(0))
         yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["votes", "n"])
 
-    counted = docs.select("text").mapInArrow(run, "votes string, n long").groupBy("votes").agg(F.sum("n").alias("n"))
+    counted = docs.select("text").mapInArrow(giving_back(run), "votes string, n long").groupBy("votes").agg(F.sum("n").alias("n"))
     return {tuple(map(int, r.votes.split(","))): r.n for r in counted.collect()}  # bounded: 3 ** labellers
 
 
@@ -157,7 +159,7 @@ def train(docs: DataFrame) -> tuple[np.ndarray, dict[tuple[int, ...], float]]:
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.float64())], ["x", "y"])
 
     chosen = docs.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_ROWS).select(F.col("doc_id").alias("id")).distinct()  # bounded by the limit
-    sample = docs.select("text", "doc_id").join(F.broadcast(chosen), F.col("doc_id").eqNullSafe(F.col("id")), "left_semi").select("text").mapInArrow(run, "x binary, y double").limit(TRAIN_ROWS).collect()
+    sample = docs.select("text", "doc_id").join(F.broadcast(chosen), F.col("doc_id").eqNullSafe(F.col("id")), "left_semi").select("text").mapInArrow(giving_back(run), "x binary, y double").limit(TRAIN_ROWS).collect()
     x = np.stack([np.frombuffer(r.x, np.float16) for r in sample]).astype(np.float32)
     return fit_linear(x, np.array([r.y for r in sample])), post
 
@@ -183,7 +185,7 @@ def scored(docs: DataFrame) -> DataFrame:
 
     names = [c for c in docs.columns if c not in ("posterior", "score", "keep")]
     schema = docs.select(*names).schema.add("posterior", "double").add("score", "double").add("keep", "boolean")
-    return docs.select(*names, F.col("text").alias("text_read")).mapInArrow(run, schema)
+    return docs.select(*names, F.col("text").alias("text_read")).mapInArrow(giving_back(run), schema)
 
 
 def kept(docs: DataFrame) -> DataFrame:

@@ -21,8 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import NULL_KEY, giving_back, materialize, ranges
-from .tokenizing import library_encoder, slices
+from .shared import NULL_KEY, materialize, ranges
+from .tokenizing import worker_encoder, slices
 
 SCALE = 20
 LANES = 32
@@ -168,7 +168,7 @@ def write_files(docs: DataFrame, vocabulary: str, end_id: int, file_tokens: int
     ranged, _ = ranges(docs.select("doc_id", "text"), "doc_id")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok, end = library_encoder(vocabulary, spaced=True), np.array([end_id], "<u2").tobytes()
+        tok, end = worker_encoder(vocabulary, spaced=True), np.array([end_id], "<u2").tobytes()
         now, file_no, first, parts, keys, lengths, held = None, 0, 0, [], [], [], 0
 
         def flush() -> pa.RecordBatch:
@@ -192,7 +192,7 @@ def write_files(docs: DataFrame, vocabulary: str, end_id: int, file_tokens: int
             yield flush()
 
     ordered = ranged.repartition("range_no").sortWithinPartitions("range_no", "order_key", "text").select("range_no", "order_key", "text")
-    return ordered.mapInArrow(giving_back(run), "range_no int, file_no int, first long, n_tokens long, data binary")
+    return ordered.mapInArrow(run, "range_no int, file_no int, first long, n_tokens long, data binary")
 
 
 def read_files(files: DataFrame) -> DataFrame:

@@ -41,19 +41,31 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: What a worker keeps from task to task of one operator, by what it was made of.  Tasks of the other operators drop it.
+KEPT: dict = {}
+
+
 def giving_back(run: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """run, after which the worker, which Spark keeps for other tasks, returns its free memory to the machine."""
+    """run, before which the worker drops what another operator kept in it, and after which it returns its free memory to the machine."""
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if KEPT:
+            KEPT.clear()
+            trimmed()
         yield from run(batches)
-        gc.collect()
-        pa.default_memory_pool().release_unused()
-        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc alone has it
-            trim(0)
+        trimmed()
 
     return task
 
 
+def trimmed() -> None:
+    """Free memory goes from this process to the machine."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc alone has it
+        trim(0)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

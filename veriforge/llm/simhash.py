@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import components
-from .shared import materialize, partitions
+from .shared import giving_back, materialize, partitions
 
 SHINGLE = 3
 RADIUS = 3
@@ -60,7 +60,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             fps = np.fromiter((fingerprint(t.as_py(), shingle) for t in b.column(1)), np.uint64, b.num_rows)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fp long")
+    return docs.select("doc_id", "text").mapInArrow(giving_back(run), "doc_id long, fp long")
 
 
 def _signed(x: int) -> int:
@@ -165,7 +165,7 @@ def links(fps: DataFrame) -> DataFrame:
     """(hi, lo): edges that connect exactly what is connected by distances of RADIUS or less among the distinct fps(fp)."""
     table = ",".join(f"struct({m}L AS m, {f}L AS f)" for m, f in variants())
     emitted = fps.select("fp", F.explode(F.expr(f"array({table})")).alias("v")).select(F.expr("(fp & v.m) ^ v.f").alias("key"), "fp")
-    met = emitted.repartition(2 * partitions(fps.sparkSession), "key").sortWithinPartitions("key", "fp").mapInArrow(_meet, "a long, b long")
+    met = emitted.repartition(2 * partitions(fps.sparkSession), "key").sortWithinPartitions("key", "fp").mapInArrow(giving_back(_meet), "a long, b long")
     met = materialize(met.distinct(), "simhash-met")
     found = met.where("b IS NOT NULL")
     hot = met.where("b IS NULL").select(F.col("a").alias("fp"))

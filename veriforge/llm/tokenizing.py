@@ -24,7 +24,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Bound of each generation of a task's cache; an entry takes about 200 bytes.
+from .shared import KEPT
+
+#: Bound of each generation of a worker's cache; an entry takes about 200 bytes.
 CACHE_ENTRIES = 450_000
 
 #: White space other than a space or a line feed, of Unicode or of Python's str methods.
@@ -163,7 +165,7 @@ class CachedEncoder:
 
 
 def library_encoder(vocabulary: str, spaced: bool) -> CachedEncoder:
-    """One task's encoder: the tokenizers library on the JSON file vocabulary, without special tokens, as unsigned 16-bit ids.
+    """The tokenizers library on the JSON file vocabulary, without special tokens, as unsigned 16-bit ids.
 
     Many segments go through the library as one text, which costs half of one call each.  Their borders show in the ids: of
     segments after a space, the first token alone begins with a space; between others stands a token that none of them holds.
@@ -215,6 +217,14 @@ def library_encoder(vocabulary: str, spaced: bool) -> CachedEncoder:
     return CachedEncoder(encode, spaced, width=2)
 
 
+def worker_encoder(vocabulary: str, spaced: bool) -> CachedEncoder:
+    """The encoder that this worker keeps from task to task, until another operator or vocabulary takes its place."""
+    if (key := (vocabulary, spaced)) not in KEPT:
+        KEPT.clear()
+        KEPT[key] = library_encoder(vocabulary, spaced)
+    return KEPT[key]
+
+
 def slices(texts: pa.Array, size: int = 1 << 23) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about size bytes: memory follows neither the batch nor the longest texts' number."""
     upto = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
