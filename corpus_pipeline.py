@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veriforge.llm import packing, quality, secret_scan, simhash, suffix_dedup
+from veriforge.llm import near_copies, packing, quality, secret_scan, suffix_dedup
 from veriforge.llm.queries import _tokenizer
 from veriforge.llm.shared import materialize, table
 
@@ -19,8 +19,8 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest doc_id stays."""
-    return simhash.dedup(docs)
+    """Of each group of near-duplicates (five-word shingles alike to 0.8) the document with the smallest doc_id stays."""
+    return near_copies.dedup(docs)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +40,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality classifier", keep_good),
-    ("simhash near-dedup", one_of_each),
+    ("near-dedup", one_of_each),
     ("suffix-array dedup", without_repeats),
     ("secret scans", without_secrets),
     ("packing", packed),
