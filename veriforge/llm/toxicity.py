@@ -172,15 +172,15 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
             for t, y in zip(b.column(1), b.column(2).to_pylist(), strict=True):
                 seen[y == 1].update(set(plain_words((t.as_py() or "").lower())))
                 total[y == 1] += 1
-        words = [*seen[1], ""]
-        yield pa.RecordBatch.from_arrays([pa.array(words), pa.array([*(seen[1][w] for w in seen[1]), total[1]], pa.int64()), pa.array([*(seen[0][w] for w in seen[1]), total[0]], pa.int64())], ["word", "bad", "good"])
+        words = list(seen[0].keys() | seen[1].keys())
+        yield pa.RecordBatch.from_arrays([pa.array([*words, ""], pa.string()), pa.array([*(seen[1][w] for w in words), total[1]], pa.int64()), pa.array([*(seen[0][w] for w in words), total[0]], pa.int64())], ["word", "bad", "good"])
 
     def rest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             x = np.array([features(t.as_py() or "", lexicon) for t in b.column(1)]).reshape(b.num_rows, -1)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2).cast(pa.int64()), pa.array([r.tobytes() for r in x], pa.binary())], ["doc_id", "toxic", "x"])
 
-    # a word seen only in good texts of one partition counts as 0 there; toxic texts are what selects words
+    # every word of a partition is sent, also those of good texts alone: another partition's toxic texts may hold it
     counted = sample.mapInArrow(count, "word string, bad long, good long").groupBy("word").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
     counts = {r.word: (r.bad, r.good) for r in counted.where(f"word = '' OR bad >= {LEAST_TEXTS}").collect()}
     bad, good = counts.pop("", (0, 0))
