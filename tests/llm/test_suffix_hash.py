@@ -1,0 +1,16 @@
+"""Runs of one anchor whose stretch hashes differ in the high bits alone are different texts."""
+
+import numpy as np
+import pyarrow as pa
+
+from veriforge.llm import suffix_dedup as S
+
+
+def test_all_bits_of_the_stretch_hash_decide():
+    one, low = np.ones(2, np.int64), np.uint64(12345)
+    stretch = np.array([low, low | np.uint64(1 << 50)])
+    block = S._pack(np.array([1, 2]), np.array([7, 8], np.uint32), np.array([0, 1]), one, one, one, np.array([99, 99], np.uint64), stretch)
+    assert S._unpack(block)[6].tolist() == stretch.tolist()
+    got = [pa.Table.from_batches([b]) for b in S._digits([S._block_rows([(0, 0, block)])], 3)]
+    assert sum(len(S._blocks(t, 0, S.RUN)) for t in got) == 0
+    assert sum(len(S._blocks(t, 1, S.ASKED)) for t in got) == 2

@@ -9,6 +9,7 @@ record for an anchor and the stretch of text that its windows cover.
 
 1. `digits`: runs are sorted by anchor, then by a hash of their whole stretch.  An anchor met in one document is dropped.  Of
    runs with equal stretches the least document's stands for all; every window of the others is repeated, sorted no further.
+   Equality is decided by all 64 bits of the hash within an anchor, not by bytes.
 2. `texts`: for anchors with several different stretches the representatives fetch their bytes from the documents.
 3. `radix`: all windows of such runs are sorted by anchor, place and then eight bytes at a time, dropping groups after each
    pass, until DEPTH bytes are equal.
@@ -121,7 +122,7 @@ def _pack(docs: np.ndarray, tags: np.ndarray, doc: np.ndarray, start: np.ndarray
     own, doc = np.unique(doc, return_inverse=True)
     step = np.diff(doc, prepend=0).astype("<u4")
     planes = lambda x, k: x.view("u1").reshape(len(x), -1)[:, :k].T.tobytes()
-    return np.array([len(doc), len(own)], "<u4").tobytes() + docs[own].astype("<i8").tobytes() + tags[own].astype("<u4").tobytes() + planes(step, 4) + planes(start.astype("<u4"), 4) + n.astype("u1").tobytes() + off.astype("u1").tobytes() + planes(np.ascontiguousarray(anchor), 5) + planes(np.ascontiguousarray(stretch), 5)
+    return np.array([len(doc), len(own)], "<u4").tobytes() + docs[own].astype("<i8").tobytes() + tags[own].astype("<u4").tobytes() + planes(step, 4) + planes(start.astype("<u4"), 4) + n.astype("u1").tobytes() + off.astype("u1").tobytes() + planes(np.ascontiguousarray(anchor), 5) + planes(np.ascontiguousarray(stretch), 8)
 
 
 def _unpack(block: bytes) -> tuple[np.ndarray, ...]:
@@ -140,7 +141,7 @@ def _unpack(block: bytes) -> tuple[np.ndarray, ...]:
 
     doc = np.cumsum(planes(4, 4, "<u4"))
     start, n, off = planes(4, 4, "<u4"), planes(1, 1, "u1"), planes(1, 1, "u1")
-    return docs[doc], tags[doc], start, n, off, planes(5, 8, "<u8"), planes(5, 8, "<u8")
+    return docs[doc], tags[doc], start, n, off, planes(5, 8, "<u8"), planes(8, 8, "<u8")
 
 
 def _block_rows(blocks: Iterable[tuple[int, int, bytes]]) -> pa.RecordBatch:
