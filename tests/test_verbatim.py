@@ -1,0 +1,16 @@
+"""Verbatim references whose first words differ."""
+
+import random
+
+from veriforge.operators import reconcile
+
+
+def test_differences_at_the_start_lose_nothing(spark):
+    r = random.Random(4)
+    # letters that are rare in the text, as difflib takes frequent ones of long texts for junk
+    long = "soufi garnier vollmer writing on " + " ".join("".join(chr(0x4E00 + r.randrange(3000)) for _ in range(7)) for _ in range(44))
+    four = "xoufi xarnier xollmer xriting" + long[len("soufi garnier vollmer writing") :]
+    rows = [(1, 1, long), (2, 2, long), (3, 3, long), (4, 4, "12. Dawe J. Title"), (5, 5, long)]
+    found = [(1, "[ 7 ] : " + long), (2, four), (3, long.upper()), (4, "[3] dawe j.  title"), (5, long[::-1])]
+    got = reconcile.verbatim(spark.createDataFrame(rows, "id int, paper int, text string"), spark.createDataFrame(found, "paper int, text string"), "paper").collect()
+    assert {r.id: r.verbatim for r in got} == {1: True, 2: True, 3: True, 4: True, 5: False}

@@ -6,6 +6,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import patterns as P
+
 #: A reference is verbatim from this similarity on.
 VERBATIM = 0.985
 UNCOUNTED_ROLES = ("numbering", "label_ref")
@@ -37,21 +39,27 @@ def table_difference(source: DataFrame, target: DataFrame, keys: list[str], valu
 def verbatim(sources: DataFrame, targets: DataFrame, block: str, id_col: str = "id", text: str = "text") -> DataFrame:
     """id, similarity, verbatim of each source reference against the targets of the same block (a paper, say).
 
-    Equal texts are found by an equi-join.  For the rest, candidates must share one of their first four words and pass the
-    length bound 2 min / (a + b) >= VERBATIM; only those are compared in Python.
+    Texts are compared without their index, in lower case, as the reference does.  Equal ones are found by an equi-join.  The
+    rest meet every target of the block whose length allows 2 min / (a + b) >= VERBATIM; difflib's upper bound, the characters
+    in common, spares most of them the comparison.  Neither can lose a verbatim pair.  Similarities below VERBATIM are not
+    searched for: where no pair can reach it, similarity is 0.
     """
     @F.pandas_udf("double")
     def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
         from difflib import SequenceMatcher
 
-        return pd.Series([SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)])
+        def one(x: str, y: str) -> float:
+            m = SequenceMatcher(None, x, y)
+            return m.ratio() if m.quick_ratio() >= VERBATIM else 0.0
+
+        return pd.Series([one(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
 
-    s = sources.select(block, F.col(id_col).alias("id"), F.trim(F.regexp_replace(text, r"(?U)\s+", " ")).alias("a"))
-    t = targets.select(block, F.trim(F.regexp_replace(text, r"(?U)\s+", " ")).alias("b")).distinct()
+    plain = lambda c: F.lower(F.trim(F.regexp_replace(F.regexp_replace(c, P.REFERENCE_INDEX, ""), r"(?U)\s+", " ")))
+    s = sources.select(block, F.col(id_col).alias("id"), plain(F.col(text)).alias("a"))
+    t = targets.select(block, plain(F.col(text)).alias("b")).distinct()
     exact = s.join(t.withColumnRenamed("b", "a"), [block, "a"], "left_semi")
-    words = lambda c: F.explode(F.array_distinct(F.slice(F.split(c, " "), 1, 4)))
-    rest = s.join(exact.select("id"), "id", "left_anti").withColumn("w", words("a"))
-    near = rest.join(t.withColumn("w", words("b")), [block, "w"]).where(F.col("a") != F.col("b")).where(2 * F.least(F.length("a"), F.length("b")) >= VERBATIM * (F.length("a") + F.length("b"))).select("id", "a", "b").distinct()
+    rest = s.join(exact.select("id"), "id", "left_anti")
+    near = rest.join(t, block).where(2 * F.least(F.length("a"), F.length("b")) >= VERBATIM * (F.length("a") + F.length("b")) - 1e-9).select("id", "a", "b")
     best = near.select("id", ratio("a", "b").alias("similarity")).groupBy("id").agg(F.max("similarity").alias("similarity"))
     scores = exact.select("id", F.lit(1.0).alias("similarity")).union(best)
     return s.select("id").join(scores, "id", "left").select("id", F.coalesce("similarity", F.lit(0.0)).alias("similarity"), (F.coalesce("similarity", F.lit(0.0)) >= VERBATIM).alias("verbatim"))
