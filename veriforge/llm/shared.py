@@ -6,7 +6,9 @@ import ctypes
 import gc
 import os
 import tempfile
+import time
 import uuid
+import weakref
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -22,23 +24,55 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or (unset, as in tests) a folder of our own."""
+    """The folder that driver and executors share: spark.checkpoint.dir.  Unset, a folder of our own serves a local master (as
+    in tests); on a cluster there is none that all machines see, so that is an error."""
     sc = spark.sparkContext
     if not (named := spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()):
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         sc.setCheckpointDir(named := os.path.join(tempfile.gettempdir(), "veriforge-shared"))
     return named.rstrip("/")
 
 
+_written: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
+def _path(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Write df once to the shared folder and read it back.
 
     Lineage is cut, the columns stay prunable, and a lost executor costs only its unfinished write tasks: what has been
-    committed is read from shared storage.
+    committed is read from shared storage.  The files go when the session ends, or with `discard`.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    at, files = _path(spark, path)
+    files.deleteOnExit(at)
+    back = spark.read.schema(df.schema).parquet(path)
+    _written[back] = path
+    return back
+
+
+def discard(*done: DataFrame) -> None:
+    """Remove what `materialize` wrote for tables that nothing reads any more."""
+    for df in done:
+        if (path := _written.pop(df, None)) is not None:
+            at, files = _path(df.sparkSession, path)
+            files.delete(at, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Spark removes the shuffle files of finished steps once the driver has collected what refers to them; it is asked to do so
+    now, as the next step writes as much again.  The cleaner works in the background and gets a moment."""
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.2)
 
 
 #: What a worker keeps from task to task of one operator, by what it was made of.  Tasks of the other operators drop it.
@@ -70,6 +104,18 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def apart(docs: DataFrame, *own: str) -> DataFrame:
+    """docs as (own columns, others): all other columns in one struct, so that their names can't clash with any that are added."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in own]
+    return docs.select(*own, F.struct(*rest).alias("others") if rest else F.lit(None).cast("int").alias("others"))
+
+
+def together(df: DataFrame, names: list[str], own: Iterable[str]) -> DataFrame:
+    """The columns names again, from df as `apart` made it."""
+    own = set(own)
+    return df.select(*(F.col(c) if c in own else F.col("others").getField(c).alias(c) for c in names))
+
+
 def ranges(df: DataFrame, key: str, per_partition: int = 2) -> tuple[DataFrame, int]:
     """df with order_key (key, nulls lowest) and range_no, ascending with the key: about per_partition ranges of like row
     count for each shuffle partition.
