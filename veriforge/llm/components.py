@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from .shared import materialize
+from .shared import apart, discard, giving_back, materialize, together
 
 #: Rounds double the distance that labels travel; 60 would need more nodes than a long can number.
 MAX_ROUNDS = 60
@@ -43,6 +47,7 @@ def roots(edges: DataFrame) -> DataFrame:
             break
         after = materialize(_to_least(_larger_to_least(edges)), "edges")
         new = _mark(after)
+        discard(edges)
         edges = after
         if new == mark:
             break
@@ -50,3 +55,31 @@ def roots(edges: DataFrame) -> DataFrame:
     else:
         raise RuntimeError("components did not settle")
     return edges.select(F.col("hi").alias("node"), F.col("lo").alias("root")).union(edges.select(F.col("lo").alias("node"), F.col("lo").alias("root")).distinct())
+
+
+def one_of_each(docs: DataFrame, rows: DataFrame, root: DataFrame, node_of: Callable[[str | None], int]) -> DataFrame:
+    """docs, one row of each component: the one with the smallest doc_id (null: largest), of equal ones the least text.
+
+    rows(doc_id, node) has every row's node, root(node, root) the components of more than one node.  Rows are told apart by
+    doc_id; only those whose doc_id is null or repeated have their nodes made again from their texts.
+    """
+    own = ("doc_id", "text")
+    labelled = rows.join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    best = labelled.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")).alias("best")).select("best.doc_id", "best.node")
+    several = rows.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 OR doc_id IS NULL").select("doc_id")
+    single = docs.join(best.join(several, "doc_id", "left_anti").where("doc_id IS NOT NULL").select("doc_id"), "doc_id", "left_semi")
+    if several.isEmpty():
+        return single
+
+    def noded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([node_of(t.as_py()) for t in b.column(1)], pa.int64())], [*b.schema.names, "node"])
+
+    given = apart(docs, *own)
+    rest = given.join(several.where("doc_id IS NOT NULL"), "doc_id", "left_semi").union(given.where("doc_id IS NULL"))
+    rest = rest.mapInArrow(giving_back(noded), StructType([*rest.schema.fields]).add("node", "long"))
+    wanted = best.select(F.col("doc_id").alias("id"), F.col("node").alias("of"))
+    chosen = rest.join(wanted, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("node") == F.col("of")), "left_semi")
+    # of rows with one doc_id and node the least text, by a partial aggregation
+    chosen = chosen.groupBy("doc_id", "node").agg(F.min_by(F.struct("text", "others"), F.coalesce("text", F.lit(""))).alias("row")).select("doc_id", "row.text", "row.others")
+    return single.select(*docs.columns).union(together(chosen, docs.columns, own))

@@ -1,28 +1,29 @@
-"""Near copies: texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
+"""Near copies that SimHash can't reach: texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
 
-SimHash bits can't reach 0.8: such pairs differ in nine to ten of 64 bits, and no ball of that radius can be emitted.  So
-MinHash finds the candidates and the sets themselves decide.  BANDS bands of ROWS minima each: a pair at similarity s shares a
-band with probability 1 - (1 - s**ROWS)**BANDS, 0.9996 at 0.8 and over 0.999999 at 0.9.
+Texts at 0.8 differ in nine to ten of 64 SimHash bits, and no ball of that radius can be emitted.  So after `simhash.dedup` the
+pipeline's second stage lets MinHash find candidates among what is left, and the sets themselves decide.  BANDS bands of ROWS
+minima each: a pair at similarity s shares a band with probability 1 - (1 - s**ROWS)**BANDS, 0.9996 at 0.8 and over 0.999999
+at 0.9.
 
 Nodes are distinct sets, so a group of copies, however large, is one node.  In a band's bucket, sorted by size of set, each node
-is paired with the WINDOW nodes before it: all pairs up to WINDOW + 1 nodes, a number in proportion to the nodes beyond that.
-Every pair is then verified by its exact similarity.
+is paired with the WINDOW nodes before it, and every pair is verified by its exact similarity.  Of a larger bucket, all pairs
+that these links left in different components follow, so that no candidate is lost, and none is compared without need.
 """
 
 from __future__ import annotations
 
 from collections import deque
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import components
 from .grams import _mixed
-from .shared import NULL_KEY, giving_back, materialize, partitions
-from .suffix_dedup import _release
+from .shared import NULL_KEY, discard, giving_back, materialize, partitions, release
 
 SHINGLE = 5
 #: Similarity from which two texts are near copies, as a fraction.
@@ -91,9 +92,9 @@ def _sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(np.array([_node(x) for x in of], _U).view(np.int64)), pa.array([x.tobytes() for x in of], pa.binary())], ["node", "shingles"])
 
 
-def _pairs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (key, n, node) to pairs of nodes of one bucket whose sizes allow LIKE."""
-    now, held = None, deque(maxlen=WINDOW)
+def _pairs(batches: Iterable[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (key, n, node) to pairs of nodes of one bucket whose sizes allow LIKE, `window` places apart at most."""
+    now, held = None, deque(maxlen=window)
     for b in batches:
         out_a, out_b = [], []
         for key, n, node in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
@@ -108,6 +109,24 @@ def _pairs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], ["hi", "lo"])
 
 
+def _across(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (key, n, node, root) sorted by (key, n, node) to all pairs of one bucket with different roots whose sizes allow LIKE."""
+    now: int | None = None
+    held: dict[int, list[tuple[int, int]]] = {}
+    for b in batches:
+        for lo in range(0, b.num_rows, 4096):
+            out_a, out_b = [], []
+            for key, n, node, root in zip(*(b.slice(lo, 4096).column(i).to_pylist() for i in range(4)), strict=True):
+                if key != now:
+                    now, held = key, {}
+                for m, other in chain.from_iterable(x for r, x in held.items() if r != root):
+                    if LIKE[1] * m >= LIKE[0] * n:
+                        out_a.append(max(node, other))
+                        out_b.append(min(node, other))
+                held.setdefault(root, []).append((n, node))
+            yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], ["hi", "lo"])
+
+
 def _verified(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         near = [alike(np.frombuffer(x.as_buffer(), _U), np.frombuffer(y.as_buffer(), _U)) for x, y in zip(b.column(2), b.column(3), strict=True)]
@@ -118,12 +137,22 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs whose sets are alike."""
     fetched = pairs.join(sets.select(F.col("node").alias("hi"), F.col("shingles").alias("x")), "hi").join(sets.select(F.col("node").alias("lo"), F.col("shingles").alias("y")), "lo").select("hi", "lo", "x", "y")
     links = materialize(fetched.mapInArrow(giving_back(_verified), "hi long, lo long"), "near-links")
-    _release(pairs.sparkSession)
+    release(pairs.sparkSession)
     return links
 
 
-def clusters(docs: DataFrame) -> DataFrame:
-    """doc_id and component_id, the smallest doc_id of its component (null if it has none), of every row.
+def _sets_of(docs: DataFrame, rows: DataFrame, met: DataFrame) -> DataFrame:
+    """Sets of the candidates, made again from the texts of one document each; a doc_id of several rows brings all of its nodes."""
+    wanted = met.select(F.explode(F.array("hi", "lo")).alias("node")).distinct()
+    named = rows.join(wanted, "node", "left_semi").groupBy("node").agg(F.min(F.coalesce("doc_id", F.lit(NULL_KEY))).alias("key")).select("key").distinct()
+    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_KEY)).alias("key"), "text").join(named, "key", "left_semi").select("key", "text")
+    sets = materialize(texts.mapInArrow(giving_back(_sets), "node long, shingles binary").join(wanted, "node", "left_semi").dropDuplicates(["node"]), "near-sets")
+    release(docs.sparkSession)
+    return sets
+
+
+def _grouped(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, node) of every row, and (node, root) of the connected nodes.
 
     Texts with equal sets are one node; null texts and texts without words are equal.  Of each node one pair is verified first;
     of the others only those whose nodes these did not connect, as the rest can't change a component."""
@@ -131,31 +160,43 @@ def clusters(docs: DataFrame) -> DataFrame:
     rows = materialize(docs.select("doc_id", "text").mapInArrow(giving_back(_signed), "doc_id long, node long, n int, bands array<long>"), "near-nodes")
     each = rows.where("n > 0").groupBy("node", "n").agg(F.first("bands").alias("bands"))
     emitted = each.select(F.explode("bands").alias("key"), "n", "node")
-    met = emitted.repartition(2 * partitions(spark), "key").sortWithinPartitions("key", "n", "node").mapInArrow(giving_back(_pairs), "hi long, lo long")
+    parts = 2 * partitions(spark)
+    met = emitted.repartition(parts, "key").sortWithinPartitions("key", "n", "node").mapInArrow(giving_back(lambda it: _pairs(it, window)), "hi long, lo long")
     met = materialize(met.distinct(), "near-pairs")
-    _release(spark)
-    # sets are made again from the texts of candidates alone; a doc_id of several rows brings all of their nodes
-    wanted = met.select(F.explode(F.array("hi", "lo")).alias("node")).distinct()
-    named = rows.join(wanted, "node", "left_semi").groupBy("node").agg(F.min(F.coalesce("doc_id", F.lit(NULL_KEY))).alias("key")).select("key").distinct()
-    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_KEY)).alias("key"), "text").join(named, "key", "left_semi").select("key", "text")
-    sets = materialize(texts.mapInArrow(giving_back(_sets), "node long, shingles binary").join(wanted, "node", "left_semi").dropDuplicates(["node"]), "near-sets")
-    _release(spark)
+    release(spark)
+    sets = _sets_of(docs, rows, met)
     links = _linked(met.groupBy("hi").agg(F.max("lo").alias("lo")), sets)
     root = components.roots(links)
-    here = lambda side: root.select(F.col("node").alias(side), F.col("root").alias(f"{side}_root"))
-    apart = met.join(here("hi"), "hi", "left").join(here("lo"), "lo", "left").where("coalesce(hi_root, hi) <> coalesce(lo_root, lo)").select("hi", "lo")
-    links = links.union(_linked(materialize(apart, "near-apart"), sets))
-    root = components.roots(links)
-    least = rows.groupBy("node").agg(F.min("doc_id").alias("least")).join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    smallest = least.groupBy("root").agg(F.min("least").alias("component_id"))
-    label = least.join(smallest, "root").select("node", "component_id")
-    return rows.select("doc_id", "node").join(label, "node").select("doc_id", "component_id")
 
+    def apart(pairs: DataFrame) -> DataFrame:
+        side = lambda x: root.select(F.col("node").alias(x), F.col("root").alias(f"{x}_root"))
+        return materialize(pairs.join(side("hi"), "hi", "left").join(side("lo"), "lo", "left").where("coalesce(hi_root, hi) <> coalesce(lo_root, lo)").select("hi", "lo"), "near-apart")
 
-def dedup(docs: DataFrame) -> DataFrame:
-    """docs, one row of each component: the one with the smallest doc_id (of equal ones, the least text).
-
-    Rows without a doc_id can't be named as a group's one and are kept."""
-    kept = clusters(docs).where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.where("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").withColumn("row_of_id", F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))).where("row_of_id = 1")
-    return named.select(*docs.columns).union(docs.where("doc_id IS NULL"))
+    links = links.union(_linked(rest := apart(met), sets))
+    discard(rest, sets)
+    root = components.roots(links)
+    large = emitted.groupBy("key").agg(F.count("*").alias("in")).where(F.col("in") > window + 1).select("key")
+    members = emitted.join(large, "key", "left_semi").join(root, "node", "left").select("key", "n", "node", F.coalesce("root", "node").alias("root"))
+    split = members.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a < b").select("key")
+    rest = materialize(members.join(split, "key", "left_semi").repartition(parts, "key").sortWithinPartitions("key", "n", "node").mapInArrow(giving_back(_across), "hi long, lo long").distinct().join(met, ["hi", "lo"], "left_anti"), "near-large")
+    if not rest.isEmpty():
+        sets = _sets_of(docs, rows, rest)
+        links = links.union(_linked(rest, sets))
+        discard(sets)
+        root = components.roots(links)
+    discard(rest, met)
+    return rows.select("doc_id", "node"), root
+
+
+def clusters(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """doc_id and component_id, the smallest doc_id of its component (null if it has none), of every row."""
+    rows, root = _grouped(docs, window)
+    labelled = rows.join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    return labelled.join(labelled.groupBy("root").agg(F.min("doc_id").alias("component_id")), "root").select("doc_id", "component_id")
+
+
+def dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """docs, one row of each component, as `components.one_of_each` chooses it; every column keeps its values.  An empty table
+    stays empty."""
+    rows, root = _grouped(docs, window)
+    return components.one_of_each(docs, rows, root, lambda text: int(np.uint64(_node(shingles(text))).view(np.int64)))

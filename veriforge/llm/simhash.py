@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import components
-from .shared import giving_back, materialize, partitions
+from .shared import discard, giving_back, materialize, partitions
 
 SHINGLE = 3
 RADIUS = 3
@@ -97,7 +97,7 @@ def forest(fps: np.ndarray) -> list[tuple[int, int]]:
     return edges
 
 
-def _meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _meet(batches: Iterable[pa.RecordBatch], bucket: int = BUCKET) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (key, fp) to links (a, b), and (a, null) for each member of a bucket that is too large to compare."""
 
     def out(a: np.ndarray | list, b: np.ndarray | list, hot: np.ndarray | list) -> pa.RecordBatch:
@@ -113,7 +113,7 @@ def _meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs: list[tuple[int, int]] = []
         hot = [np.zeros(0, np.int64)]
         for b, n in zip(begin[size > 2].tolist(), size[size > 2].tolist(), strict=True):
-            if n > BUCKET:
+            if n > bucket:
                 hot.append(fp[b : b + n])
             else:
                 pairs += forest(fp[b : b + n])
@@ -136,7 +136,7 @@ def _meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if last:
             yield from groups(key[:last], fp[:last])
         held_k, held_f = key[last:], fp[last:]
-        if len(held_k) > BUCKET:
+        if len(held_k) > bucket:
             large = int(held_k[0])
             yield out([], [], held_f)
             held_k, held_f = held_k[:0], held_f[:0]
@@ -161,11 +161,11 @@ def hot_links(fps: DataFrame) -> DataFrame:
     return members.join(centre, "key").where("fp <> centre").select(F.col("fp").alias("a"), F.col("centre").alias("b")).distinct()
 
 
-def links(fps: DataFrame) -> DataFrame:
+def links(fps: DataFrame, bucket: int = BUCKET) -> DataFrame:
     """(hi, lo): edges that connect exactly what is connected by distances of RADIUS or less among the distinct fps(fp)."""
     table = ",".join(f"struct({m}L AS m, {f}L AS f)" for m, f in variants())
     emitted = fps.select("fp", F.explode(F.expr(f"array({table})")).alias("v")).select(F.expr("(fp & v.m) ^ v.f").alias("key"), "fp")
-    met = emitted.repartition(2 * partitions(fps.sparkSession), "key").sortWithinPartitions("key", "fp").mapInArrow(giving_back(_meet), "a long, b long")
+    met = emitted.repartition(2 * partitions(fps.sparkSession), "key").sortWithinPartitions("key", "fp").mapInArrow(giving_back(lambda it: _meet(it, bucket)), "a long, b long")
     met = materialize(met.distinct(), "simhash-met")
     found = met.where("b IS NOT NULL")
     hot = met.where("b IS NULL").select(F.col("a").alias("fp"))
@@ -178,16 +178,22 @@ def hexadecimal(fp: Column) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
 
 
+def _grouped(docs: DataFrame, shingle: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(doc_id, fp) of every row, (fp, least) of each fingerprint, and (node, root) of the connected ones."""
+    rows = materialize(fingerprints(docs, shingle), "simhash")
+    each = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
+    return rows, each, components.roots(links(each.select("fp")))
+
+
 def clusters(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """doc_id, fp, component_id of every row.
 
     Null and texts without words have fingerprint 0 and are linked like any other.  Equal texts have equal fingerprints and so
     meet before any variant is made: a group of copies, however large, is one fingerprint.  component_id is the smallest
-    doc_id of the component, null if it has none; repeated rows give repeated results; an empty table gives none.
+    doc_id of the component, null if it has none; repeated rows give repeated results; an empty table gives none; further
+    columns are not read.
     """
-    rows = materialize(fingerprints(docs, shingle), "simhash")
-    each = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
-    root = components.roots(links(each.select("fp")))
+    rows, each, root = _grouped(docs, shingle)
     labelled = each.join(root.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     smallest = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
     label = labelled.join(smallest, "root").select("fp", "component_id")
@@ -195,11 +201,7 @@ def clusters(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 
 
 def dedup(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """docs, one row of each component: the one with the smallest doc_id (of equal ones, the least text).
-
-    Rows without a doc_id can't be named as a group's one and are kept."""
-    kept = clusters(docs, shingle).where("doc_id = component_id").select("doc_id").distinct()
-    from pyspark.sql import Window
-
-    named = docs.where("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").withColumn("row_of_id", F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))).where("row_of_id = 1")
-    return named.select(*docs.columns).union(docs.where("doc_id IS NULL"))
+    """docs, one row of each component, as `components.one_of_each` chooses it; every column keeps its values."""
+    rows, each, root = _grouped(docs, shingle)
+    discard(each)
+    return components.one_of_each(docs, rows.withColumnRenamed("fp", "node"), root, lambda text: _signed(fingerprint(text, shingle)))
