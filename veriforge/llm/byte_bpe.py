@@ -187,7 +187,8 @@ def codec(path: str, pattern: str) -> Codec:
 
 
 def encoded(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, ids array<int>) of every text; null text: no ids.  A map over the scan, no shuffle."""
+    """(id, ids array<int>) of every text; null text: no ids; null ids stay null; repeated rows give repeated results; further
+    columns are not read.  A map over the scan, no shuffle."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path, pattern)
@@ -202,7 +203,7 @@ def encoded(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", te
 
 def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every whole text; null text: empty.  Repeated rows give repeated
-    results; an empty table gives an empty one; further columns are not read."""
+    results; null doc_ids stay null; an empty table gives an empty one; further columns are not read."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path, pattern)

@@ -43,8 +43,8 @@ def tokenised(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
 def pack(docs: DataFrame, vocabulary: str, end_id: int = 1, window: int = WINDOW) -> DataFrame:
     """Pieces of all documents: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
-    Null and empty texts are the end id alone; equal rows are packed one by one; an empty table gives no row; further columns
-    are not read.  The driver adds up one total for each partition of the input.
+    Null and empty texts are the end id alone; equal rows are packed one by one; null doc_ids stay null; an empty table gives no
+    row; further columns are not read.  The driver adds up one total for each partition of the input.
     """
     ids = tokenised(docs, vocabulary, end_id)
     base, total = {}, 0

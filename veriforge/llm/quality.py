@@ -18,8 +18,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from .shared import giving_back
+from .shared import apart, giving_back, together
 
 #: Rows on which the scorer is fitted: those whose hashed doc_id is least.
 TRAIN_ROWS = 3000
@@ -32,12 +33,15 @@ EM_ROUNDS = 100
 #: Class of each byte: letters, capitals, digits, white space, line feed, and ten groups of marks by their code.
 _SHAPE = bytes(1 if c >= 128 or 97 <= c <= 122 else 2 if 65 <= c <= 90 else 3 if 48 <= c <= 57 else 5 if c == 10 else 4 if c in (9, 11, 12, 13, 32) else 6 + c % 10 for c in range(256))
 
+#: First bytes of characters of scripts that put no spaces between words (U+0E00 to U+0EFF and U+3000 to U+9FFF).
+_FAR_EAST = tuple(bytes([b]) for b in (0xE4, 0xE5, 0xE6, 0xE7, 0xE8, 0xE9)) + (b"\xe0\xb8", b"\xe0\xb9", b"\xe0\xba", b"\xe0\xbb")
+
 #: A word that ends in two marks or more.
 _MARKED = re.compile(r"[^\W_][!-/:-@\[-`{-~]{2,}(?!\S)")
 
 
 def measured(text: str) -> list[float]:
-    """Shares that the labellers look at, and the number of words."""
+    """Shares that the labellers look at, the number of words, and whether the script puts no spaces between them."""
     words = text.split()
     m = max(1, len(words))
     lines = [x for x in text.split("\n") if x.strip()]
@@ -56,12 +60,13 @@ def measured(text: str) -> list[float]:
         text.count("|") / m,
         max(0, len(text) - m) / m,
         len(words),
+        data.count(b"\xe3") + sum(map(data.count, _FAR_EAST)) > len(data) // 6,
     ]
 
 
 def votes(x: list[float]) -> list[int]:
     """Good unless its own defect shows; nothing where a text is too short to tell."""
-    symbols, marked, capitals, shouted, distinct, twice, lines, bars, length, n = x
+    symbols, marked, capitals, shouted, distinct, twice, lines, bars, length, n, unspaced = x
     return [
         -1 if symbols > 0.12 else 1,
         0 if n < 3 else -1 if marked > 0.25 else 1,
@@ -71,7 +76,7 @@ def votes(x: list[float]) -> list[int]:
         0 if n < 10 else -1 if twice > 0.2 else 1,
         0 if n < 30 else -1 if lines < 0.5 else 1,
         0 if n < 10 else -1 if bars > 0.25 else 1,
-        -1 if length > 25 else 1,
+        0 if unspaced else -1 if length > 25 else 1,
     ]
 
 
@@ -87,7 +92,7 @@ def features(text: str, x: list[float]) -> np.ndarray:
         out[SHAPES : SHAPES + BYTES] = np.bincount(pair, minlength=BYTES)
         out /= len(data)
         np.sqrt(out, out)
-    for i, v in enumerate(x):
+    for i, v in enumerate(x[:10]):
         bin_ = int(min(15, 16 * v if i < 8 else 2 * np.log1p(v)))
         out[SHAPES + BYTES + 16 * i + bin_] = 1.0
     return out
@@ -164,30 +169,35 @@ def train(docs: DataFrame) -> tuple[np.ndarray, dict[tuple[int, ...], float]]:
     return fit_linear(x, np.array([r.y for r in sample])), post
 
 
-def scored(docs: DataFrame) -> DataFrame:
-    """docs with posterior (of the labellers), score (of the linear scorer) and keep (score >= KEEP).
-
-    Null text: empty.  Empty texts are judged like any other; equal texts get equal scores; an empty table stays empty.
-    Columns of docs with these names are replaced.
-    """
+def _judged(docs: DataFrame) -> DataFrame:
+    """doc_id, text, others (all further columns of docs), posterior, score and keep of every row."""
     weights, post = train(docs)
     w = weights.astype(np.float32)
+    given = apart(docs, "doc_id", "text")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
-            for t in b.column(b.num_columns - 1):
+            for t in b.column(1):
                 text = t.as_py() or ""
                 x = measured(text)
                 out.append((post.get(tuple(votes(x)), 0.5), float(1 / (1 + np.exp(-np.clip(features(text, x) @ w[:-1] + w[-1], -50, 50))))))
             score = np.array([s for _, s in out], np.float64)
-            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(b.num_columns - 1)), pa.array([p for p, _ in out], pa.float64()), pa.array(score), pa.array(score >= KEEP)], [*names, "posterior", "score", "keep"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([p for p, _ in out], pa.float64()), pa.array(score), pa.array(score >= KEEP)], schema.names)
+
+    schema = StructType([*given.schema.fields]).add("posterior", "double").add("score", "double").add("keep", "boolean")
+    return given.mapInArrow(giving_back(run), schema)
 
-    names = [c for c in docs.columns if c not in ("posterior", "score", "keep")]
-    schema = docs.select(*names).schema.add("posterior", "double").add("score", "double").add("keep", "boolean")
-    return docs.select(*names, F.col("text").alias("text_read")).mapInArrow(giving_back(run), schema)
+
+def scored(docs: DataFrame) -> DataFrame:
+    """doc_id, posterior (of the labellers), score (of the linear scorer) and keep (score >= KEEP) of every row.
+
+    Null text: empty.  Empty texts are judged like any other; equal texts get equal scores; repeated rows and null doc_ids are
+    judged like any other; an empty table gives no row; further columns are not read.
+    """
+    return _judged(docs.select("doc_id", "text")).select("doc_id", "posterior", "score", "keep")
 
 
 def kept(docs: DataFrame) -> DataFrame:
-    """The rows of docs that the scorer keeps."""
-    return scored(docs).where("keep").select(*docs.columns)
+    """The rows of docs that the scorer keeps; every column keeps its values, whatever its name."""
+    return together(_judged(docs).where("keep"), docs.columns, ("doc_id", "text"))

@@ -53,7 +53,7 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.scored(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "posterior", "score", "keep")
+    return quality.scored(table(spark, sf_dir, "documents"))
 
 
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

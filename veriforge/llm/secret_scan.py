@@ -14,19 +14,22 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .shared import apart, together
+
 #: The three patterns, as (kind, Java pattern, condition on the match m).
 KINDS = [
     ("assign", r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]+""", r"""length(regexp_extract(m, '(?i:password|passwd|secret|token|api_?key)["\']?\\x20*[:=]\\x20*["\']?([A-Za-z0-9+/_.=-]+)', 1)) >= 6"""),
     ("access", r"AKIA[A-Z0-9]+", "length(m) >= 20"),
     ("hex", r"[0-9a-f]{24,}", "true"),
 ]
-#: Tokens that the models judge: 20 characters or more, one of them a digit.
-CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])[A-Za-z0-9+/_=-]{20,}"
+_CHAR = "[A-Za-z0-9+/_=-]"
+#: Tokens that the models judge: 16 characters or more with a letter and a digit among them, or 20 or more with a letter.
+CANDIDATE = f"(?<!{_CHAR})(?={_CHAR}*[A-Za-z])(?:(?={_CHAR}*[0-9]){_CHAR}{{16,}}|{_CHAR}{{20,}})"
 MARK, STAND_IN = "", ""
 #: Characters of candidates have codes from 43 to 122.
 LOW, SIZE = 43, 80
-#: Mean log-likelihood ratio for each step at which a candidate counts as random.
-THRESHOLD = 0.25
+#: Log-likelihood ratio beyond which a candidate counts as random: mean of its steps, and their sum.
+THRESHOLD, LEAST_SUM = 0.25, 8.0
 SMOOTHING = 0.5
 REDACTED = "[SECRET]"
 _BLOCK = 512
@@ -72,33 +75,45 @@ def _quoted(s: str) -> str:
     return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def _bound(expression: str, name: str, use: str) -> str:
+    """use, with the expression computed once under a name."""
+    return f"transform(array({expression}), {name} -> {use})[0]"
+
+
 def _matches(text: str, pattern: str, kind: int, condition: str) -> str:
     """Array of struct(s, k, e, m): the pattern's matches in column text that meet the condition on m, by start.
 
-    Segments are folded in blocks, so that a text with very many matches takes no quadratic time.
+    Segments are folded in blocks, each from place 0; then the blocks' lengths are added up and every block moved to its place.
+    So a text with n matches takes time in proportion to n and to the square of its blocks alone.
     """
     segs = f"split(regexp_replace({text}, {_quoted('(' + pattern + ')')}, '{MARK}$1{MARK}'), '{MARK}')"
     none = "CAST(array() AS ARRAY<STRUCT<s: INT, k: INT, e: INT, m: STRING>>)"
     hit = f"named_struct('s', c.pos, 'k', {kind}, 'e', c.pos + length(x), 'm', x)"
-    inner = f"aggregate(slice(segs, b * {_BLOCK} + 1, {_BLOCK}), named_struct('pos', a.pos, 'i', 0, 'out', {none}), (c, x) -> named_struct('pos', c.pos + length(x), 'i', c.i + 1, 'out', IF(c.i % 2 = 1, array_append(c.out, {hit}), c.out)))"
-    fold = f"aggregate(sequence(0, (size(segs) - 1) DIV {_BLOCK}), named_struct('pos', 0, 'out', {none}), (a, b) -> transform(array({inner}), d -> named_struct('pos', d.pos, 'out', concat(a.out, d.out)))[0], a -> a.out)"
-    found = f"IF(size(segs) < 2, {none}, {fold})"
-    kept = found if condition == "true" else f"filter({found}, y -> transform(array(y.m), m -> {condition})[0])"
-    return f"transform(array({segs}), segs -> {kept})[0]"
+    block = f"aggregate(slice(segs, b * {_BLOCK} + 1, {_BLOCK}), named_struct('pos', 0, 'i', 0, 'out', {none}), (c, x) -> named_struct('pos', c.pos + length(x), 'i', c.i + 1, 'out', IF(c.i % 2 = 1, array_append(c.out, {hit}), c.out)))"
+    blocks = f"transform(sequence(0, (size(segs) - 1) DIV {_BLOCK}), b -> {block})"
+    places = "aggregate(blocks, named_struct('at', 0, 'all', CAST(array() AS ARRAY<INT>)), (a, x) -> named_struct('at', a.at + x.pos, 'all', array_append(a.all, a.at)), a -> a.all)"
+    moved = "flatten(transform(blocks, (x, i) -> transform(x.out, h -> named_struct('s', h.s + places[i], 'k', h.k, 'e', h.e + places[i], 'm', h.m))))"
+    found = f"IF(size(segs) < 2, {none}, {_bound(blocks, 'blocks', _bound(places, 'places', moved))})"
+    kept = found if condition == "true" else f"filter({found}, y -> {_bound('y.m', 'm', condition)})"
+    return _bound(segs, "segs", kept)
 
 
-def spans(docs: DataFrame, llr: list[float]) -> DataFrame:
-    """docs with base and added: arrays of struct(s, k, e, m), by start; k is the place of the kind in KINDS, 3 for the models'.
+def _spans(docs: DataFrame, llr: list[float]) -> DataFrame:
+    """doc_id, text, others (all further columns of docs), base and added: arrays of struct(s, k, e, m), by start; k is the place
+    of the kind in KINDS, 3 for the models'.
 
     Places are in code points, ends exclusive.  An added span meets no base span.  Null text: none.
     """
-    clean = docs.withColumn("scan_text", F.translate(F.coalesce("text", F.lit("")), MARK, STAND_IN))
-    found = clean.select(*docs.columns, *(F.expr(_matches("scan_text", rx, k, cond)).alias(f"scan_{k}") for k, (_, rx, cond) in enumerate(KINDS)), F.expr(_matches("scan_text", CANDIDATE, len(KINDS), "true")).alias("scan_more"))
+    given = apart(docs, "doc_id", "text")
+    own = given.columns
+    clean = given.withColumn("scan_text", F.translate(F.coalesce("text", F.lit("")), MARK, STAND_IN))
+    found = clean.select(*own, *(F.expr(_matches("scan_text", rx, k, cond)).alias(f"scan_{k}") for k, (_, rx, cond) in enumerate(KINDS)), F.expr(_matches("scan_text", CANDIDATE, len(KINDS), "true")).alias("scan_more"))
     base = found.withColumn("base", F.expr("array_sort(concat(" + ",".join(f"scan_{k}" for k in range(len(KINDS))) + "))"))
     scored = base.withColumn("scan_ratios", F.expr("array(" + ",".join(f"{x:.6f}D" for x in llr) + ")"))
     step = f"element_at(scan_ratios, {SIZE} * (ascii(substr(t.m, i, 1)) - {LOW}) + ascii(substr(t.m, i + 1, 1)) - {LOW} + 1)"
-    mean = f"aggregate(sequence(1, length(t.m) - 1), 0D, (z, i) -> z + {step}) / (length(t.m) - 1)"
-    return scored.select(*docs.columns, "base", F.expr(f"filter(scan_more, t -> NOT exists(base, b -> b.s < t.e AND t.s < b.e) AND {mean} > {THRESHOLD})").alias("added"))
+    ratio = f"aggregate(sequence(1, length(t.m) - 1), 0D, (z, i) -> z + {step})"
+    random = _bound(ratio, "r", f"r > {LEAST_SUM}D AND r > {THRESHOLD}D * (length(t.m) - 1)")
+    return scored.select(*own, "base", F.expr(f"filter(scan_more, t -> NOT exists(base, b -> b.s < t.e AND t.s < b.e) AND {random})").alias("added"))
 
 
 def joined(found: Column) -> Column:
@@ -107,18 +122,23 @@ def joined(found: Column) -> Column:
 
 
 def summary(docs: DataFrame, llr: list[float]) -> DataFrame:
-    """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_markov of every text (null: empty).  A map over the scan."""
-    found = spans(docs.select("doc_id", "text"), llr)
+    """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_markov of every text.  A map over the scan.
+
+    Null text: empty, without spans; null doc_ids stay null; repeated rows give repeated results; an empty table gives no row;
+    further columns are not read.
+    """
+    found = _spans(docs.select("doc_id", "text"), llr)
     count = lambda k: F.size(F.filter("base", lambda x: x.k == k)).cast("long")
     return found.select("doc_id", *(count(k).alias(f"n_{name}") for k, (name, *_) in enumerate(KINDS)), F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.expr("array_sort(concat(base, added))")).alias("spans"), F.size("added").cast("long").alias("n_markov"))
 
 
 def redacted(docs: DataFrame, llr: list[float]) -> DataFrame:
-    """docs with each span of text, or union of overlapping ones, replaced by REDACTED; n_chars follows, if there is one."""
+    """docs with each span of text, or union of overlapping ones, replaced by REDACTED; n_chars follows, if there is one.
+
+    All rows stay; every other column keeps its values, whatever its name; null text stays null.
+    """
     kinds = dict(docs.dtypes)
-    found = spans(docs, llr).withColumn("found", F.expr("array_sort(concat(base, added))"))
+    found = _spans(docs, llr).withColumn("found", F.expr("array_sort(concat(base, added))"))
     fold = f"aggregate(found, named_struct('at', 0, 'out', CAST(array() AS ARRAY<STRING>)), (a, x) -> named_struct('at', greatest(a.at, x.e), 'out', IF(x.s < a.at, a.out, concat(a.out, array(substr(text, a.at + 1, x.s - a.at), '{REDACTED}')))), a -> array_join(concat(a.out, array(substr(text, a.at + 1))), ''))"
-    new = found.withColumn("text", F.expr(f"IF(size(found) = 0, text, {fold})"))
-    if "n_chars" in kinds:
-        new = new.withColumn("n_chars", F.length(F.coalesce("text", F.lit(""))).cast(kinds["n_chars"]))
-    return new.select(*docs.columns)
+    new = together(found.withColumn("text", F.expr(f"IF(size(found) = 0, text, {fold})")), docs.columns, ("doc_id", "text"))
+    return new.withColumn("n_chars", F.length(F.coalesce("text", F.lit(""))).cast(kinds["n_chars"])) if "n_chars" in kinds else new

@@ -3,7 +3,8 @@
 The lexicon is learnt, too: words that stand in far more toxic than other training texts.  Features are its density, plain and
 after undoing look-alike characters (the difference is the obfuscation rate), how often second-person words stand near it, and
 the shares of capitals, punctuation and digits.  Labels come only from training rows, and a bounded number of them: the
-TRAIN_ROWS training rows whose hashed doc_id is least.  One in five of those calibrates, the others grow the trees.
+TRAIN_ROWS training rows whose hashed doc_id is least.  One in five of those calibrates; the lexicon and the trees see the others
+alone.
 """
 
 from __future__ import annotations
@@ -163,7 +164,9 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     (words in LEAST_TEXTS toxic texts or more) and at most `rows` feature vectors."""
     chosen = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)  # bounded, so it may be broadcast
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic")
+    # of several rows with one doc_id the least text trains, so the sample is bounded, too
+    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"), F.max("toxic").alias("toxic"))
+    calibrates = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: tuple[Counter, Counter] = (Counter(), Counter())
@@ -181,9 +184,14 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2).cast(pa.int64()), pa.array([r.tobytes() for r in x], pa.binary())], ["doc_id", "toxic", "x"])
 
     # every word of a partition is sent, also those of good texts alone: another partition's toxic texts may hold it
-    counted = sample.mapInArrow(count, "word string, bad long, good long").groupBy("word").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
-    counts = {r.word: (r.bad, r.good) for r in counted.where(f"word = '' OR bad >= {LEAST_TEXTS}").collect()}
-    bad, good = counts.pop("", (0, 0))
+    def counted(of: DataFrame) -> tuple[dict[str, tuple[int, int]], int, int]:
+        each = of.mapInArrow(count, "word string, bad long, good long").groupBy("word").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+        found = {r.word: (r.bad, r.good) for r in each.where(f"word = '' OR bad >= {LEAST_TEXTS}").collect()}
+        return found, *found.pop("", (0, 0))
+
+    counts, bad, good = counted(sample.where(~calibrates))
+    if not (bad and good):  # so few labels that none can be set aside
+        counts, bad, good = counted(sample)
     ratio = {w: math.log((b + 0.5) / (bad + 1)) - math.log((g + 0.5) / (good + 1)) for w, (b, g) in counts.items() if len(w) > 2 and b >= LEAST_SHARE * bad}
     best = sorted((w for w in ratio if ratio[w] >= LEAST_LOG_RATIO), key=lambda w: (-ratio[w] * math.sqrt(counts[w][0]), w))[:LEXICON]
     lexicon = {w: ratio[w] for w in best}

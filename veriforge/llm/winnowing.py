@@ -60,8 +60,24 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     return both / (len(a) + len(b) - both)
 
 
+def shared_stretches(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> list[tuple[int, int]]:
+    """Pairs of positions (in a, in b) at which two fingerprints hold the same hash.
+
+    The guarantee: of any stretch of k + w - 1 bytes that both texts have, at places i and j, there is a pair (p, q) with
+    p - i = q - j from 0 to w - 1.
+    """
+    places: dict[int, list[int]] = {}
+    for p, h in zip(b[0].tolist(), b[1].tolist(), strict=True):
+        places.setdefault(h, []).append(p)
+    return [(p, q) for p, h in zip(a[0].tolist(), a[1].tolist(), strict=True) for q in places.get(h, ())]
+
+
 def fingerprints(docs: DataFrame, k: int = GRAM, w: int = WINDOW) -> DataFrame:
-    """doc_id, positions array<long>, hashes array<long> of every text (null: empty).  A map over the scan."""
+    """doc_id, positions array<long>, hashes array<long> of every text.  A map over the scan.
+
+    Null text: empty, with no hash; equal texts have equal fingerprints; null doc_ids stay null; an empty table gives no row;
+    further columns are not read.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -83,7 +99,8 @@ def edited(text: str, following: str) -> str:
 
 
 def compared(docs: DataFrame, k: int = GRAM, w: int = WINDOW) -> DataFrame:
-    """Every whole text against its edited form and the next document, in descending order of doc_id.
+    """Every whole text against its edited form and the next document, in descending order of doc_id; positions holds the byte
+    places of the fingerprint's hashes.
 
     Null text: empty; null doc_id: last; rows with one doc_id are ordered by text; the last document's next is the first; an
     empty table gives no row.  The order is cut into ranges, and the range before also gets a copy of the rows with a range's
@@ -101,11 +118,11 @@ def compared(docs: DataFrame, k: int = GRAM, w: int = WINDOW) -> DataFrame:
         def row(own: tuple, text: str, hashes: np.ndarray) -> tuple:
             new = edited(own[1], text).encode()
             edit = winnow(new, k, w)[1]
-            return own[0], len(own[1]), hashlib.sha256(new).hexdigest(), written(own[2]), written(edit), likeness(own[2], edit), likeness(own[2], hashes)
+            return own[0], len(own[1]), hashlib.sha256(new).hexdigest(), written(own[2]), written(edit), likeness(own[2], edit), likeness(own[2], hashes), own[3]
 
         def batch(rows: list[tuple]) -> pa.RecordBatch:
             cols = list(zip(*rows, strict=True))
-            kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+            kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.list_(pa.int64())]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], NAMES)
 
         for b in batches:
@@ -115,17 +132,17 @@ def compared(docs: DataFrame, k: int = GRAM, w: int = WINDOW) -> DataFrame:
                 elif guest and held is None:
                     continue  # the first guest has served
                 text = text.as_py()
-                hashes = winnow(text.encode(), k, w)[1]
+                positions, hashes = winnow(text.encode(), k, w)
                 if held is not None:
                     out.append(row(held, text, hashes))
-                held, held_range = None if guest else (key, text, hashes), r
+                held, held_range = None if guest else (key, text, hashes, positions), r
                 if len(out) >= 256:
                     yield batch(out)
                     out = []
         if out:
             yield batch(out)
 
-    return ordered.select("r", "guest", "doc_id", "text").mapInArrow(run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+    return ordered.select("r", "guest", "doc_id", "text").mapInArrow(run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, positions array<long>")
 
 
-NAMES = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+NAMES = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "positions"]
