@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veriforge.llm import near_copies, packing, quality, secret_scan, suffix_dedup
+from veriforge.llm import near_copies, packing, quality, secret_scan, simhash, suffix_dedup
 from veriforge.llm.queries import _tokenizer
 from veriforge.llm.shared import materialize, table
 
@@ -19,13 +19,14 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates (five-word shingles alike to 0.8) the document with the smallest doc_id stays."""
-    return near_copies.dedup(docs)
+    """Of each group of near-duplicates the document with the smallest doc_id stays: first of those whose SimHash fingerprints
+    of five-word shingles link, then of those left whose sets of five-word shingles are alike to 0.8."""
+    return near_copies.dedup(materialize(simhash.dedup(docs, shingle=5), "one-of-each"))
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Bytes of passages that a smaller doc_id also holds are taken out; documents left empty by that go."""
-    return suffix_dedup.dedup(docs).where("text IS NULL OR text <> ''")
+    """Bytes of passages that a smaller doc_id also holds are taken out; documents that this empties go."""
+    return suffix_dedup.dedup(docs)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +41,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality classifier", keep_good),
-    ("near-dedup", one_of_each),
+    ("simhash near-dedup", one_of_each),
     ("suffix-array dedup", without_repeats),
     ("secret scans", without_secrets),
     ("packing", packed),
