@@ -7,14 +7,14 @@ at 0.9.
 
 Nodes are distinct sets, so a group of copies, however large, is one node.  In a band's bucket, sorted by size of set, each node
 is paired with the WINDOW nodes before it, and every pair is verified by its exact similarity.  Of a larger bucket, all pairs
-that these links left in different components follow, so that no candidate is lost, and none is compared without need.
+that these links left in different components follow, so that no candidate is lost.  There a bitmap of each set bounds what two
+sets can have in common from above, and only pairs that can still reach the similarity have their sets compared.
 """
 
 from __future__ import annotations
 
 from collections import deque
 from collections.abc import Iterable, Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +30,8 @@ SHINGLE = 5
 LIKE = (4, 5)
 BANDS, ROWS = 20, 5
 WINDOW = 16
+#: Bits of a set's bitmap.
+BITMAP = 2048
 _PART = 1 << 12
 _U = np.uint64
 #: Odd factors and summands of the minima's hashes, from a rule.
@@ -67,6 +69,22 @@ def alike(a: np.ndarray, b: np.ndarray) -> bool:
     return LIKE[1] * common >= LIKE[0] * (both - common)
 
 
+def bitmap(of: np.ndarray) -> np.ndarray:
+    """One bit for each place that a member hashes to, as 64-bit words."""
+    on = np.zeros(BITMAP, np.uint8)
+    on[(of % _U(BITMAP)).astype(np.int64)] = 1
+    return np.packbits(on).view(np.uint64)
+
+
+def may_be_alike(n: int, bits: np.ndarray, others: np.ndarray, their_bits: np.ndarray) -> np.ndarray:
+    """Which of other sets (sizes, rows of bitmaps) can be alike: a bit that only one set has stands for a member or more that
+    the other lacks."""
+    ours = n - np.bitwise_count(bits & ~their_bits).sum(1, dtype=np.int64)
+    theirs = others - np.bitwise_count(their_bits & ~bits).sum(1, dtype=np.int64)
+    common = np.minimum(ours, theirs)
+    return LIKE[1] * common >= LIKE[0] * (n + others - common)
+
+
 def _node(of: np.ndarray) -> int:
     from xxhash import xxh64_intdigest
 
@@ -77,12 +95,13 @@ def _signed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lo in range(0, batch.num_rows, 1024):
             b = batch.slice(lo, 1024)
-            node, size, keys = np.zeros(b.num_rows, _U), np.zeros(b.num_rows, np.int32), np.zeros((b.num_rows, BANDS), _U)
+            node, size, keys, bits = np.zeros(b.num_rows, _U), np.zeros(b.num_rows, np.int32), np.zeros((b.num_rows, BANDS), _U), []
             for i, t in enumerate(b.column(1)):
                 of = shingles(t.as_py())
                 node[i], size[i], keys[i] = _node(of), len(of), bands(of)
+                bits.append(bitmap(of).tobytes())
             lists = pa.ListArray.from_arrays(pa.array(np.arange(b.num_rows + 1) * BANDS, pa.int32()), pa.array(keys.view(np.int64).ravel()))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(node.view(np.int64)), pa.array(size), lists], ["doc_id", "node", "n", "bands"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(node.view(np.int64)), pa.array(size), lists, pa.array(bits, pa.binary())], ["doc_id", "node", "n", "bands", "bits"])
 
 
 def _sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,21 +129,26 @@ def _pairs(batches: Iterable[pa.RecordBatch], window: int) -> Iterator[pa.Record
 
 
 def _across(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (key, n, node, root) sorted by (key, n, node) to all pairs of one bucket with different roots whose sizes allow LIKE."""
+    """Rows (key, n, node, root, bits) sorted by key to all pairs of one bucket with different roots that may be alike."""
     now: int | None = None
-    held: dict[int, list[tuple[int, int]]] = {}
-    for b in batches:
-        for lo in range(0, b.num_rows, 4096):
-            out_a, out_b = [], []
-            for key, n, node, root in zip(*(b.slice(lo, 4096).column(i).to_pylist() for i in range(4)), strict=True):
+    m, size, nodes, roots, bits = 0, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, BITMAP // 64), _U)
+    for batch in batches:
+        for lo in range(0, batch.num_rows, 4096):
+            b = batch.slice(lo, 4096)
+            out: list[np.ndarray] = []
+            for key, n, node, root, own in zip(*(b.column(i).to_pylist() for i in range(4)), b.column(4), strict=True):
                 if key != now:
-                    now, held = key, {}
-                for m, other in chain.from_iterable(x for r, x in held.items() if r != root):
-                    if LIKE[1] * m >= LIKE[0] * n:
-                        out_a.append(max(node, other))
-                        out_b.append(min(node, other))
-                held.setdefault(root, []).append((n, node))
-            yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], ["hi", "lo"])
+                    now, m = key, 0
+                own = np.frombuffer(own.as_buffer(), _U)
+                other = np.flatnonzero(roots[:m] != root)
+                if len(other) and len(other := other[may_be_alike(n, own, size[other], bits[other])]):
+                    out.append(np.stack([np.full(len(other), node), nodes[other]]))
+                if m == len(size):
+                    size, nodes, roots, bits = (np.resize(x, (max(64, 2 * m), *x.shape[1:])) for x in (size, nodes, roots, bits))
+                size[m], nodes[m], roots[m], bits[m] = n, node, root, own
+                m += 1
+            pairs = np.concatenate(out, axis=1) if out else np.zeros((2, 0), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs.max(0)), pa.array(pairs.min(0))], ["hi", "lo"])
 
 
 def _verified(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,7 +181,7 @@ def _grouped(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFram
     Texts with equal sets are one node; null texts and texts without words are equal.  Of each node one pair is verified first;
     of the others only those whose nodes these did not connect, as the rest can't change a component."""
     spark = docs.sparkSession
-    rows = materialize(docs.select("doc_id", "text").mapInArrow(giving_back(_signed), "doc_id long, node long, n int, bands array<long>"), "near-nodes")
+    rows = materialize(docs.select("doc_id", "text").mapInArrow(giving_back(_signed), "doc_id long, node long, n int, bands array<long>, bits binary"), "near-nodes")
     each = rows.where("n > 0").groupBy("node", "n").agg(F.first("bands").alias("bands"))
     emitted = each.select(F.explode("bands").alias("key"), "n", "node")
     parts = 2 * partitions(spark)
@@ -178,7 +202,9 @@ def _grouped(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFram
     large = emitted.groupBy("key").agg(F.count("*").alias("in")).where(F.col("in") > window + 1).select("key")
     members = emitted.join(large, "key", "left_semi").join(root, "node", "left").select("key", "n", "node", F.coalesce("root", "node").alias("root"))
     split = members.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a < b").select("key")
-    rest = materialize(members.join(split, "key", "left_semi").repartition(parts, "key").sortWithinPartitions("key", "n", "node").mapInArrow(giving_back(_across), "hi long, lo long").distinct().join(met, ["hi", "lo"], "left_anti"), "near-large")
+    members = members.join(split, "key", "left_semi")
+    bits = rows.join(members.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.first("bits").alias("bits"))
+    rest = materialize(members.join(bits, "node").select("key", "n", "node", "root", "bits").repartition(parts, "key").sortWithinPartitions("key", "node").mapInArrow(giving_back(_across), "hi long, lo long").distinct().join(met, ["hi", "lo"], "left_anti"), "near-large")
     if not rest.isEmpty():
         sets = _sets_of(docs, rows, rest)
         links = links.union(_linked(rest, sets))
