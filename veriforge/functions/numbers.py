@@ -1,154 +1,74 @@
-"""The number reader: text and locale to an array of hits, in native expressions."""
+"""The reader's functions over columns: Arrow batches in, Arrow arrays out."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from . import patterns as P
-from .text import blanked, normalized_number, rewritten, segments, visible, western_digits
-
-_HIT = "array<struct<start:int,end:int,raw:string,normalized:string,unit:string,role:string>>"
-
-
-def statistic_before(before: Column) -> Column:
-    """Statistics vocabulary in the same clause, 40 characters back at most."""
-    clause = F.element_at(F.split(F.substring(before, -40, 40), r"\]|\. |\n"), -1)
-    return clause.rlike(P.STATISTIC)
-
-
-def plausible_list(inner: Column) -> Column:
-    """Integers and ranges, strictly ascending, spanning 20 at most."""
-    ends = F.transform(F.split(F.regexp_replace(inner, r"(?U)\s", ""), "[,;\u2013\u2014-]"), lambda x: x.try_cast("int"))
-    up = F.forall(F.sequence(F.lit(1), F.greatest(F.size(ends) - 1, F.lit(1))), lambda i: (F.size(ends) < 2) | (F.get(ends, i) > F.get(ends, i - 1)))
-    return F.forall(ends, lambda x: x.isNotNull()) & up & (F.array_max(ends) - F.array_min(ends) <= 20)
-
-
-def is_interval(bracket: Column, before: Column, after: Column) -> Column:
-    """Whether [a, b] gives a statistical interval rather than citation keys."""
-    inner = F.regexp_replace(F.substring(bracket, F.lit(2), F.length(bracket) - 2), r"(?U)\s", "")
-    zero = inner.rlike("(?:^|[,;\u2013\u2014-])0")
-    value = before.rlike(r"(?U)(?<![\w.,])\d+(?:[,.]\d+)?\s*%?\s*\z") & ~before.rlike(r"(?U)(?<![\d.,])(?:19|20)\d{2}\s*\z")
-    told = statistic_before(before) | value | ~plausible_list(inner)
-    decimals = inner.rlike("^\\d+,\\d+[;\u2013\u2014-]\\d+,\\d+$")
-    alone = (F.trim(before) == "") & (F.trim(after) == "")
-    return zero | (decimals & (told | alone | inner.contains(";") | inner.rlike(r",\d{2,}"))) | (inner.rlike("^\\d+[,;\u2013\u2014-]\\d+$") & told)
-
-
-def _comma_list(s: Column, before: Column, after: Column) -> Column:
-    groups = F.split(s, ",")
-    keep = s.rlike("^\\d+,\\d+[-\u2013]\\d+,\\d+$") | F.exists(groups, lambda g: g.rlike("^0"))
-    thousands = s.rlike(r"^\d{1,3}(?:,\d{3})+$")
-    return F.when(keep, s).when(thousands, F.translate(s, ",", "\u00a0")).otherwise(F.translate(s, ",", ";"))
-
-
-def _stray_comma(s: Column, before: Column, after: Column) -> Column:
-    word = before.rlike(r"(?U)(?:\p{L}\S*\p{L}|\p{L}\S*\p{L}\S*[.)\]\u00bb\u201d\"\u2019'])\z|[)\]\u00bb\u201d\"\u2019']\z")
-    return F.when(word, F.repeat(F.lit(" "), F.length(s))).otherwise(s)
-
-
-def prepared(t: Column, locale: str) -> Column:
-    """Text with everything blanked that is no value; places stay."""
-    t = western_digits(visible(t))
-    for rx in (P.URL, P.HASH, P.MULTI_DOT):
-        t = blanked(t, rx)
-    t = rewritten(t, P.CITATION, lambda s, b, a: F.when(is_interval(s, b, a), s).otherwise(F.repeat(F.lit(" "), F.length(s))))
-    t = rewritten(t, P.COMMA_LIST, _comma_list)
-    return rewritten(t, P.STRAY_COMMA, _stray_comma)
-
-
-def month_number(name: Column) -> Column:
-    out = F.lit(None).cast("int")
-    for k, rx in reversed(P.MONTHS.items()):
-        out = F.when(name.rlike(f"(?iu)^(?:{rx})$"), k).otherwise(out)
-    return out
-
-
-def date_key(s: Column) -> Column:
-    """d-m-yyyy of a date in figures or words; null if the figures are no date."""
-    p = F.transform(F.split(s, "[-/.]"), lambda x: x.try_cast("int"))
-    year_first = s.rlike(r"^\d{4}\D")
-    y, m, d = F.when(year_first, F.get(p, F.lit(0))).otherwise(F.get(p, F.lit(2))), F.get(p, F.lit(1)), F.when(year_first, F.get(p, F.lit(2))).otherwise(F.get(p, F.lit(0)))
-    figures = F.when(d.between(1, 31) & m.between(1, 12) & y.between(1900, 2100), F.concat_ws("-", d.cast("string"), m.cast("string"), y.cast("string")))
-    name = F.regexp_extract(s, rf"(?iuU)({P.MONTH})(?=\s|\z|,)", 1)
-    day = F.regexp_extract(F.regexp_replace(s, r"\d{4}\s*$", ""), r"(\d{1,2})", 1).try_cast("int").cast("string")
-    words = F.concat_ws("-", day, month_number(name).cast("string"), F.regexp_extract(s, r"(\d{4})\s*$", 1))
-    return F.when(s.rlike(r"^\d+[-/.]\d+[-/.]\d+$"), figures).otherwise(words)
-
-
-def _hits(segs: Column, hit) -> Column:
-    """hit(segment, place, text before, text after) for each match."""
-    odd = F.filter(F.sequence(F.lit(0), F.size(segs) - 1), lambda i: i % 2 == 1)
-    return F.transform(odd, lambda i: hit(F.get(segs, i), F.array_join(F.slice(segs, F.lit(1), i), ""), F.array_join(F.slice(segs, i + 2, F.size(segs)), "")))
-
-
-def _struct(start: Column, raw: Column, normalized: Column, unit: Column, role: Column) -> Column:
-    return F.struct(start.cast("int").alias("start"), (start + F.length(raw)).cast("int").alias("end"), raw.alias("raw"), normalized.alias("normalized"), unit.alias("unit"), role.alias("role"))
-
-
-def _none() -> Column:
-    return F.lit(None).cast("string")
-
+from . import reader as R
 
-def _with(t: Column, f) -> Column:
-    """f(t) with t computed once."""
-    return F.element_at(F.transform(F.array(t), f), 1)
+HIT = "struct<start:int,end:int,raw:string,normalized:string,unit:string,role:string,context:string>"
+_HIT = pa.struct([("start", pa.int32()), ("end", pa.int32()), *((c, pa.string()) for c in ("raw", "normalized", "unit", "role", "context"))])
+_STRINGS = pa.list_(pa.string())
 
 
-def numbers(t: Column, locale: str) -> Column:
-    """Hits of text t by start: struct(start, end, raw, normalized, unit, role).
+def over(f: Callable, result: str, kind: pa.DataType) -> Callable[..., Column]:
+    """f, a function of plain values, as a function of columns."""
 
-    Stages: invisible characters and digits; addresses, hashes, section numbers and citations blanked; comma lists and stray
-    commas; dates; numbers of the locale with unit and role.
-    """
-    rx = P.number(locale)
+    def run(*columns: pa.Array) -> pa.Array:
+        return pa.array([f(*row) for row in zip(*(c.to_pylist() for c in columns), strict=True)], kind)
 
-    def number_hit(s: Column, before: Column, after: Column) -> Column:
-        unit = F.when(after.rlike("(?U)^[\u00a0\u202f\u2009\u2007 ]?[%\u066a]"), "%")
-        value = normalized_number(s, locale)
-        role = (
-            F.when(F.substring(before, -14, 14).rlike(P.LABEL), "label_ref")
-            .when(before.rlike(r"(?iU)(?:^|[^\w])p\s*[=<>\u2264\u2265]?\s*\z"), "p_value")
-            .when(before.rlike(r"(?iU)(?:^|[^\w])n\s*=\s*\z"), "n")
-            .when((F.trim(before) == "") & after.rlike(r"^[.)]"), "numbering")
-            .when(value.rlike(r"^(?:19|20)\d{2}$") & unit.isNull(), "year")
-        )
-        return _struct(F.length(before), s, value, unit, role)
+    forms: list[Callable] = [lambda a: run(a), lambda a, b: run(a, b), lambda a, b, c: run(a, b, c)]
+    for g, names in zip(forms, ("a", "ab", "abc"), strict=True):
+        g.__annotations__ = {**dict.fromkeys(names, pa.Array), "return": pa.Array}
+    return lambda *columns: F.arrow_udf(forms[len(columns) - 1], result)(*columns)
 
-    def from_work(work: Column) -> Column:
-        def dates(rx: str, text: Column) -> Column:
-            return F.filter(_hits(segments(text, rx), lambda s, b, a: _struct(F.length(b), s, date_key(s), _none(), F.lit("date"))), lambda h: h["normalized"].isNotNull())
 
-        rest = rewritten(work, P.DATE_NUMERIC, lambda s, b, a: F.when(date_key(s).isNull(), s).otherwise(F.repeat(F.lit(" "), F.length(s))))
-        rest = blanked(rest, P.DATE_WORDS)
-        if locale == "fr":  # tableau 3 120: the label's number stands alone
-            rest = rewritten(rest, r"(?iuU)(?<=(?:tableau|table|figure|fig\.|section|phase|partie|annexe)\s)\d{1,3} (?=\d{3}(?!\d))", lambda s, b, a: F.concat(F.rtrim(s), F.lit("\t")))
-        found = F.concat(dates(P.DATE_NUMERIC, work).cast(_HIT), dates(P.DATE_WORDS, work).cast(_HIT), _with(segments(rest, rx), lambda segs: _hits(segs, number_hit)).cast(_HIT))
-        return F.array_sort(found)
+def hit(h: R.Hit) -> dict:
+    return h._asdict()
 
-    return _with(prepared(t, locale), from_work)
 
+_numbers = over(lambda t, locale: [hit(h) for h in R.numbers(t, locale)], f"array<{HIT}>", pa.list_(_HIT))
+#: Keys cited in a text, repeats included: numeric ones expanded as [k], author-date ones in canonical form.
+citations = over(R.citations, "array<string>", _STRINGS)
+composed = over(R.visible, "string", pa.string())
+plain_name = over(R.plain_name, "string", pa.string())
+folded = over(R.folded, "string", pa.string())
+is_references_heading = over(R.is_references_heading, "boolean", pa.bool_())
+looks_like_reference = over(R.looks_like_reference, "boolean", pa.bool_())
+opens_entry = over(R.opens_entry, "boolean", pa.bool_())
+closes_references = over(lambda t: bool(R.G.AFTER_REFERENCES.match(t or "")), "boolean", pa.bool_())
+opens_note = over(lambda t: bool(R.G.NOTE_OPENS.match(t or "")), "boolean", pa.bool_())
+reference_index = over(lambda t: dict(zip(("index", "body"), R.reference_index(t), strict=True)), "struct<index:int,body:string>", pa.struct([("index", pa.int32()), ("body", pa.string())]))
+reference_entries = over(lambda parts: R.reference_entries(parts or []), "array<string>", _STRINGS)
+#: Runs of Arabic and other script; neutral characters stay with the run before them.
+script_runs = over(lambda t: [{"text": s, "arabic": a} for s, a in R.script_runs(t)], "array<struct<text:string,arabic:boolean>>", pa.list_(pa.struct([("text", pa.string()), ("arabic", pa.bool_())])))
+inline_runs = over(
+    lambda t, lang: [dict(zip(("text", "rtl", "bold", "italic"), r, strict=True)) for r in R.inline_runs(t, lang)],
+    "array<struct<text:string,rtl:boolean,bold:boolean,italic:boolean>>",
+    pa.list_(pa.struct([("text", pa.string()), *((c, pa.bool_()) for c in ("rtl", "bold", "italic"))])),
+)
+has_arabic = over(R.has_arabic, "boolean", pa.bool_())
+mostly_latin = over(R.mostly_latin, "boolean", pa.bool_())
+same_place = over(R.same_place, "boolean", pa.bool_())
 
-def citations(t: Column) -> Column:
-    """Keys cited in text t, repeats included: numeric ones expanded as [k], author-date ones in canonical form."""
-    t = visible(t)
-    brackets = _hits(segments(t, P.CITATION), lambda s, b, a: F.when(is_interval(s, b, a), F.array().cast("array<string>")).otherwise(F.transform(_keys(s), lambda k: F.concat(F.lit("["), k, F.lit("]")))))
-    name = rf"{P.AUTHOR}(?:\s+(?:&|and|et)\s+{P.AUTHOR})*(?:\s+et\s+al\.?)?"
-    group = F.regexp_extract_all(t, F.lit(rf"(?U)\(({name}\s*,?\s*(?:19|20)\d{{2}}[a-z]?(?:\s*;\s*{name}\s*,?\s*(?:19|20)\d{{2}}[a-z]?)*)\)"), F.lit(1))
-    told = F.regexp_extract_all(t, F.lit(rf"(?U)(?<![\w'\u2019\-])({name}\s*\(\s*(?:19|20)\d{{2}}[a-z]?)\s*\)"), F.lit(1))
-    each = F.concat(F.flatten(F.transform(group, lambda g: F.split(g, r"\s*;\s*"))), F.transform(told, lambda x: F.regexp_replace(x, r"\s*\(\s*", ", ")))
-    return F.concat(F.flatten(brackets), F.transform(each, author_key))
 
+def numbers(t: Column, locale: str | Column) -> Column:
+    """Hits of text t by start: struct(start, end, raw, normalized, unit, role, context); the locale may differ by row."""
+    return _numbers(t, locale if isinstance(locale, Column) else F.lit(locale))
 
-def _keys(bracket: Column) -> Column:
-    from .text import expanded_keys
 
-    return expanded_keys(F.substring(bracket, F.lit(2), F.length(bracket) - 2))
+def term_counts(t: Column, terms: list[str]) -> Column:
+    """How often each of the terms stands in text t; both sides are folded.  The list travels with the function, so it must be
+    a glossary's, not a table's."""
+    if len(terms) > 10_000:
+        raise ValueError("join a table of so many terms instead")
 
+    def counts(text: str | None) -> list[int]:
+        plain = R.folded(text)
+        return [R.term_count(x, plain) for x in terms]
 
-def author_key(part: Column) -> Column:
-    """(Name & Name, 2020) or (Name et al., 2020)"""
-    year = F.regexp_extract(part, r"((?:19|20)\d{2}[a-z]?)\s*$", 1)
-    names = F.regexp_replace(part, r"\s*,?\s*(?:19|20)\d{2}[a-z]?\s*$", "")
-    names = F.regexp_replace(F.regexp_replace(names, r"(?iU)\s*\bet\s+al\.?\s*", " et al."), r"(?U)\s+(?:and|et)\s+(?!al\b)", " & ")
-    return F.concat(F.lit("("), F.trim(names), F.lit(", "), year, F.lit(")"))
+    return over(counts, "array<int>", pa.list_(pa.int32()))(t)

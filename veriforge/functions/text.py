@@ -1,17 +1,24 @@
-"""Scalar text functions as Column expressions."""
+"""Scalar text functions as native Column expressions."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from . import patterns as P
+from . import grammar as G
+from . import vocabulary as V
 
 MARK = "\ue000"
 
 
+def java(rx: re.Pattern) -> str:
+    """A pattern of `grammar` for Spark's functions."""
+    return ("(?iuU)" if rx.flags & re.I else "(?U)") + rx.pattern
+
+
 def segments(t: Column, rx: str) -> Column:
     """Text between and inside the matches of rx, in turn; odd places are matches.  t holds no private-use character."""
     return F.split(F.regexp_replace(t, f"({rx})", f"{MARK}$1{MARK}"), MARK)
@@ -35,20 +42,20 @@ def blanked(t: Column, rx: str) -> Column:
 
 def visible(t: Column) -> Column:
     """Without bidi controls, zero-width and soft-hyphen characters and private-use glyphs."""
-    return F.regexp_replace(F.coalesce(t, F.lit("")), P.NO_TEXT, "")
+    return F.regexp_replace(F.coalesce(t, F.lit("")), java(G.NO_TEXT), "")
 
 
 def western_digits(t: Column) -> Column:
-    return F.translate(t, P.DIGITS_FROM, P.DIGITS_TO)
+    return F.translate(t, V.ARABIC_DIGITS + V.PERSIAN_DIGITS, "0123456789" * 2)
 
 
 def normalized_number(raw: Column, locale: str) -> Column:
     """Canonical decimal string: precision as written, no leading zeros, sign kept."""
-    bare = F.regexp_replace(F.trim(raw), r"(?:er|ère|ere|re|e|ème|eme|st|nd|rd|th)$", "")
+    bare = F.regexp_replace(F.trim(raw), G.any_of(V.ORDINALS) + "$", "")
     if locale == "fr":
-        bare = F.translate(F.regexp_replace(bare, f"[{P.GROUP_FR}]", ""), ",", ".")
+        bare = F.translate(F.regexp_replace(bare, G.one_of(V.GROUP_FR), ""), ",", ".")
     else:
-        bare = F.translate(F.regexp_replace(bare, f"[{P.GROUP_EN} ]", ""), P.DECIMAL_AR, ".")
+        bare = F.translate(F.regexp_replace(bare, G.one_of(V.GROUP_EN + " "), ""), V.ARABIC_DECIMAL, ".")
     sign = F.when(bare.rlike("^[-\u2212]"), "-").otherwise("")
     bare = F.regexp_replace(bare, "^[-\u2212]", "")
     whole, part = F.split_part(bare, F.lit("."), F.lit(1)), F.split_part(bare, F.lit("."), F.lit(2))
@@ -57,38 +64,20 @@ def normalized_number(raw: Column, locale: str) -> Column:
 
 
 def without_bullet(t: Column) -> Column:
-    return F.regexp_replace(t, P.BULLET, "")
-
-
-def is_references_heading(t: Column) -> Column:
-    return F.trim(t).rlike(P.REFERENCES_HEADING)
-
-
-def looks_like_reference(t: Column) -> Column:
-    return t.rlike(P.REFERENCE_INDEX) | t.rlike(P.REFERENCE_START) | t.rlike(P.REFERENCE_SIGN)
-
-
-def is_reference_entry(t: Column) -> Column:
-    return t.rlike(P.REFERENCE_INDEX) | t.rlike(P.REFERENCE_START)
-
-
-def reference_index(t: Column) -> Column:
-    """struct(index, body)"""
-    n = F.regexp_extract(t, P.REFERENCE_INDEX, 1)
-    return F.struct(F.when(n != "", n.cast("int")).alias("index"), F.regexp_replace(t, P.REFERENCE_INDEX, "").alias("body"))
+    return F.regexp_replace(F.trim(t), java(G.LEADING_BULLET), "")
 
 
 def doi(t: Column) -> Column:
-    d = F.regexp_replace(F.regexp_extract(t, P.DOI, 1), "[.;,]+$", "")
+    d = F.regexp_replace(F.regexp_extract(t, "(10\\.\\d{4,9}/[^\\s\"<>]+)", 1), "[.;,]+$", "")
     return F.when(d != "", d)
 
 
 def table_label(t: Column) -> Column:
-    return F.regexp_extract(t, P.TABLE_LABEL, 2)
+    return F.regexp_extract(t, java(G.TABLE_LABEL), 2)
 
 
 def figure_label(t: Column) -> Column:
-    return F.regexp_extract(t, P.FIGURE_LABEL, 2)
+    return F.regexp_extract(t, java(G.FIGURE_LABEL), 2)
 
 
 def filled_rows(cells: Column) -> Column:
@@ -98,7 +87,7 @@ def filled_rows(cells: Column) -> Column:
 def is_rule_row(row: Column) -> Column:
     """A Markdown rule line; a row of empty cells is a real one."""
     said = F.filter(row, lambda c: F.trim(c) != "")
-    return (F.size(said) > 0) & F.forall(said, lambda c: F.trim(c).rlike("^:?-{1,}:?$"))
+    return (F.size(said) > 0) & F.forall(said, lambda c: F.trim(c).rlike("^:?-{2,}:?$"))
 
 
 def expanded_keys(inner: Column) -> Column:
@@ -113,40 +102,6 @@ def expanded_keys(inner: Column) -> Column:
     return F.flatten(F.transform(F.split(inner, "[,;]"), part))
 
 
-def folded(t: Column) -> Column:
-    """Glossary form: Arabic letters unified, article dropped, white space collapsed, lower case."""
-    t = F.regexp_replace(F.coalesce(t, F.lit("")), "[\u0610-\u061a\u064b-\u065f\u0670\u06d6-\u06ed]", "")
-    t = F.translate(t, "\u0623\u0625\u0622\u0629\u0649", "\u0627\u0627\u0627\u0647\u064a")
-    t = F.regexp_replace(t, "(?<![\u0600-\u06ff])[\u0648\u0641\u0628\u0644\u0643]?(?:\u0627\u0644|\u0644\u0644)(?=[\u0600-\u06ff]{2,})", "")
-    return F.lower(F.trim(F.regexp_replace(t, r"(?U)\s+", " ")))
-
-
-def term_count(term: str, folded_text: Column) -> Column:
-    """Whole-word count of a Latin-script term, substring count of another; both sides folded."""
-    import re
-
-    if not term:
-        return F.lit(0)
-    quoted = "\\Q" + term.lower() + "\\E"
-    if re.search("[A-Za-z\u00c0-\u00ff]", term):
-        quoted = f"(?<![A-Za-z\u00c0-\u00ff0-9]){quoted}(?![A-Za-z\u00c0-\u00ff0-9])"
-    return F.size(F.regexp_extract_all(folded_text, F.lit(quoted), F.lit(0)))
-
-
-def plain_name(t: Column) -> Column:
-    """Collapsed upper-case name.  Latin accents are mapped natively; anything else outside ASCII is dropped."""
-    a = "\u00c0\u00c1\u00c2\u00c3\u00c4\u00c5\u00c7\u00c8\u00c9\u00ca\u00cb\u00cc\u00cd\u00ce\u00cf\u00d1\u00d2\u00d3\u00d4\u00d5\u00d6\u00d9\u00da\u00db\u00dc\u00dd"
-    t = F.translate(F.upper(F.coalesce(t, F.lit(""))), a, "AAAAAACEEEEIIIINOOOOOUUUUY")
-    return F.trim(F.regexp_replace(F.regexp_replace(t, "[^\\x00-\\x7f]", ""), r"\s+", " "))
-
-
 def verification_code(prefix: str, *fields: Column) -> Column:
     h = F.upper(F.substring(F.sha2(F.concat_ws("|", F.lit(prefix), *fields), 256), 1, 10))
     return F.concat(F.substring(h, 1, 5), F.lit("-"), F.substring(h, 6, 5))
-
-
-def script_runs(t: Column) -> Column:
-    """Runs of Arabic and of other script in turn; neutral characters stay with the run before them."""
-    cut = F.regexp_replace(t, "(?<=[^\u0600-\u06ff])(?=[\u0600-\u06ff])", MARK)
-    cut = F.regexp_replace(cut, "(?<=[\u0600-\u06ff])([^\\p{L}\u0600-\u06ff]*)(?=\\p{L}(?<![\u0600-\u06ff]))", f"$1{MARK}")
-    return F.filter(F.split(cut, MARK), lambda s: s != "")

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import patterns as P
+from ..functions import grammar as G
+from ..functions import vocabulary as V
 
 
 def default_seconds(kind: Column) -> Column:
-    table = F.create_map(*[F.lit(x) for kv in P.SECONDS.items() for x in kv])
-    return F.coalesce(F.try_element_at(table, kind), F.lit(P.OTHER_SECONDS))
+    table = F.create_map(*[F.lit(x) for kv in V.SECONDS.items() for x in kv])
+    return F.coalesce(F.try_element_at(table, kind), F.lit(V.OTHER_SECONDS))
 
 
 def timed(slides: DataFrame, deck: str, slide: str) -> DataFrame:
@@ -33,7 +34,7 @@ def lint(slides: DataFrame, *keys: str) -> DataFrame:
     found = F.array(
         F.when(F.size("bullets") > 6, "more than 6 bullets"),
         F.when(F.exists("bullets", lambda b: words(b) > 14), "bullet over 14 words"),
-        F.when(F.coalesce("title", F.lit("")).rlike(P.GENERIC_TITLE), "generic title"),
+        F.when(F.coalesce("title", F.lit("")).rlike(G.GENERIC_TITLE), "generic title"),
         F.when(F.trim(F.coalesce("notes", F.lit(""))) == "", "no notes"),
     )
     return slides.select(*keys, F.explode(F.array_compact(found)).alias("warning"))

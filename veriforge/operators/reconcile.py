@@ -1,12 +1,20 @@
-"""Comparison of a source's values with a target's, as joins of multisets."""
+"""Comparison of derived documents with the ledger of their sources, as joins of multisets.
+
+Keys name the project and the paper.  Every comparison is an equi-join on keys and value, so papers are spread over the
+cluster; only reference lists, which are as short as a paper's, are compared pair by pair, within one paper.
+"""
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterable
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import patterns as P
+from ..functions import grammar as G
+from ..functions import reader as R
+from . import ledger as L
 
 #: A reference is verbatim from this similarity on.
 VERBATIM = 0.985
@@ -36,33 +44,63 @@ def table_difference(source: DataFrame, target: DataFrame, keys: list[str], valu
     return d.select(*keys, value, F.greatest(F.col("s") - F.col("t"), F.lit(0)).alias("missing"), F.greatest(F.col("t") - F.col("s"), F.lit(0)).alias("extra")).where("missing > 0 OR extra > 0")
 
 
-def verbatim(sources: DataFrame, targets: DataFrame, block: str, id_col: str = "id", text: str = "text") -> DataFrame:
-    """id, similarity, verbatim of each source reference against the targets of the same block (a paper, say).
+def ignored_values(texts: Iterable[str], locale: str) -> list[str]:
+    """Values of the strings whose numbers are tolerated."""
+    return sorted({h.normalized for t in texts for h in R.numbers(t, locale)})
+
+
+def _plain_reference(text: str | None) -> str:
+    return " ".join(G.INDEX.sub("", text or "").split()).lower()
+
+
+def best_match(entry: str | None, candidates: Iterable[tuple[str, str | None]]) -> tuple[float, str | None]:
+    """(similarity, text) of the first most similar of candidates (plain, text).  Candidates whose upper bounds can't beat the
+    best so far are not compared, so none is lost."""
+    from difflib import SequenceMatcher
 
-    Texts are compared without their index, in lower case, as the reference does.  Equal ones are found by an equi-join.  The
-    rest meet every target of the block whose length allows 2 min / (a + b) >= VERBATIM; difflib's upper bound, the characters
-    in common, spares most of them the comparison.  Neither can lose a verbatim pair.  Similarities below VERBATIM are not
-    searched for: where no pair can reach it, similarity is 0.
+    a = _plain_reference(entry)
+    best, at = 0.0, None
+    for b, text in candidates:
+        if a == b:
+            return 1.0, text
+        if 2 * min(len(a), len(b)) <= best * (len(a) + len(b)):
+            continue
+        m = SequenceMatcher(None, a, b)
+        if m.quick_ratio() > best and (r := m.ratio()) > best:
+            best, at = r, text
+    return best, at
+
+
+def best_references(sources: DataFrame, targets: DataFrame, keys: list[str], id_col: str = "id", text: str = "text") -> DataFrame:
+    """keys, id, similarity, verbatim, target_text of each source entry's best match among the target entries of its paper.
+
+    Entries are compared without their index, in lower case, by the ratio of matching blocks.  Equal ones are found by an
+    equi-join; the others of a paper meet that paper's list in one task.
     """
-    @F.pandas_udf("double")
-    def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-        from difflib import SequenceMatcher
+    from pyspark.sql.functions import arrow_udf
 
-        def one(x: str, y: str) -> float:
-            m = SequenceMatcher(None, x, y)
-            return m.ratio() if m.quick_ratio() >= VERBATIM else 0.0
+    def plain(t: pa.Array) -> pa.Array:
+        return pa.array([_plain_reference(x) for x in t.to_pylist()], pa.string())
 
-        return pd.Series([one(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
+    plain.__annotations__ = {"t": pa.Array, "return": pa.Array}
+    folded = arrow_udf(plain, "string")
+    s = sources.select(*keys, F.col(id_col).alias("id"), F.col(text).alias("text"), folded(F.col(text)).alias("plain"))
+    theirs = [f"target_{k}" for k in keys]  # columns of their own, whatever both sides come from
+    t = targets.select(*(F.col(k).alias(n) for k, n in zip(keys, theirs, strict=True)), F.col(text).alias("text"), folded(F.col(text)).alias("plain"))
+    equal = t.groupBy(*theirs, "plain").agg(F.min("text").alias("target_text")).toDF(*keys, "plain", "target_text")
+    known = s.join(equal, [*keys, "plain"], "left")
+    exact = known.where("target_text IS NOT NULL").select(*keys, "id", F.lit(1.0).alias("similarity"), "target_text")
+    rest = known.where("target_text IS NULL").select(*keys, "id", "text")
 
-    plain = lambda c: F.lower(F.trim(F.regexp_replace(F.regexp_replace(c, P.REFERENCE_INDEX, ""), r"(?U)\s+", " ")))
-    s = sources.select(block, F.col(id_col).alias("id"), plain(F.col(text)).alias("a"))
-    t = targets.select(block, plain(F.col(text)).alias("b")).distinct()
-    exact = s.join(t.withColumnRenamed("b", "a"), [block, "a"], "left_semi")
-    rest = s.join(exact.select("id"), "id", "left_anti")
-    near = rest.join(t, block).where(2 * F.least(F.length("a"), F.length("b")) >= VERBATIM * (F.length("a") + F.length("b")) - 1e-9).select("id", "a", "b")
-    best = near.select("id", ratio("a", "b").alias("similarity")).groupBy("id").agg(F.max("similarity").alias("similarity"))
-    scores = exact.select("id", F.lit(1.0).alias("similarity")).union(best)
-    return s.select("id").join(scores, "id", "left").select("id", F.coalesce("similarity", F.lit(0.0)).alias("similarity"), (F.coalesce("similarity", F.lit(0.0)) >= VERBATIM).alias("verbatim"))
+    def match(given: pa.Table, others: pa.Table) -> pa.Table:
+        candidates = list(zip(others.column("plain").to_pylist(), others.column("text").to_pylist(), strict=True))
+        found = [best_match(x, candidates) for x in given.column("text").to_pylist()]
+        return pa.table([*(given.column(k) for k in (*keys, "id")), pa.array([f[0] for f in found], pa.float64()), pa.array([f[1] for f in found], pa.string())], [*keys, "id", "similarity", "target_text"])
+
+    schema = rest.select(*keys, "id").schema.simpleString()[len("struct<") : -1] + ",similarity:double,target_text:string"
+    near = rest.groupBy(*keys).cogroup(t.groupBy(*theirs)).applyInArrow(match, schema.replace(":", " "))
+    both = exact.union(near)
+    return both.select(*keys, "id", F.round("similarity", 3).alias("similarity"), (F.col("similarity") >= VERBATIM).alias("verbatim"), "target_text")
 
 
 def ranked_match(old: DataFrame, new: DataFrame, keys: list[str], old_id: str, new_id: str) -> DataFrame:
@@ -71,8 +109,157 @@ def ranked_match(old: DataFrame, new: DataFrame, keys: list[str], old_id: str, n
     return number(old, old_id).join(number(new, new_id), [*keys, "rank"], "left").select(old_id, new_id)
 
 
+class Translation:
+    """A translated paper against the ledger: it must carry every item of its paper.
+
+    ledger has project, paper and the items' columns; targets has project, paper and reading (see `ledger.reading`).
+    """
+
+    PROJECT, KEYS = ["project"], ["project", "paper"]
+
+    def __init__(self, ledger: DataFrame, targets: DataFrame, ignore: Iterable[str] = ()):
+        self.ledger, self.targets, self.ignore = ledger, targets, list(ignore)
+        self.hits = targets.select(*self.KEYS, F.posexplode("reading.numbers").alias("pos", "h")).select(*self.KEYS, "pos", "h.*")
+        self.counts = multiset(self.hits, self.KEYS, count="found")
+        counted = (F.col("kind") == "number") & ~F.coalesce("role", F.lit("")).isin(*UNCOUNTED_ROLES) & ~F.col("normalized").isin(self.ignore)
+        self.numbers = ledger.where(counted)
+        self.table_values = ledger.where("kind = 'table'").select(*self.KEYS, F.explode("values").alias("normalized"))
+
+    def values(self) -> DataFrame:
+        """keys, normalized, expected, found, status, example_id, context of every value of the text and the tables."""
+        running = self.numbers.where("coalesce(role, '') NOT IN ('spelled_out', 'date')")
+        every = running.select(*self.KEYS, "normalized", F.struct("place", "id", "context").alias("example")).unionByName(self.table_values, allowMissingColumns=True)
+        expected = every.groupBy(*self.KEYS, "normalized").agg(F.count("*").alias("expected"), F.min("example").alias("example"))
+        both = expected.join(self.counts, [*self.KEYS, "normalized"], "left").withColumn("found", F.coalesce("found", F.lit(0)))
+        status = F.when(F.col("found") == 0, "missing").when(F.col("found") < F.col("expected"), "under").otherwise("matched")
+        return both.select(*self.KEYS, "normalized", "expected", "found", status.alias("status"), F.col("example.id").alias("example_id"), F.substring("example.context", 1, 160).alias("context"))
+
+    def _first_unknown(self) -> DataFrame:
+        """The first place of each target value that the project does not know."""
+        everywhere = self.ledger.where("kind = 'number'").select("project", "normalized").union(self.ledger.where("kind = 'figure'").select("project", F.explode("values"))).union(L.date_parts(self.ledger, self.PROJECT))
+        found = self.hits.where(~F.coalesce("role", F.lit("")).isin(*UNCOUNTED_ROLES) & ~F.col("normalized").isin(self.ignore))
+        found = found.join(everywhere.distinct(), ["project", "normalized"], "left_anti").join(self.table_values.distinct(), [*self.KEYS, "normalized"], "left_anti")
+        return found.groupBy(*self.KEYS, "normalized").agg(F.min_by(F.struct("raw", "role", "context"), "pos").alias("x")).select(*self.KEYS, "normalized", "x.raw", "x.role", F.substring(F.trim("x.context"), 1, 160).alias("context"))
+
+    def introduced(self) -> DataFrame:
+        """keys, normalized, raw, context of the target's values that no source has."""
+        return self._first_unknown().where("coalesce(role, '') <> 'date'").drop("role")
+
+    def dates(self) -> DataFrame:
+        """Dates to look at by eye: those of the ledger, found in the target or not, and those that only the target has."""
+        own = self.numbers.where("role = 'date'").join(self.counts, [*self.KEYS, "normalized"], "left")
+        own = own.select(*self.KEYS, "id", "raw", "normalized", F.col("found").isNotNull().alias("found_in_target"))
+        return own.unionByName(self._first_unknown().where("role = 'date'").select(*self.KEYS, F.lit(None).cast("string").alias("id"), "raw", "normalized", F.lit(True).alias("found_in_target")))
+
+    def spelled_out(self) -> DataFrame:
+        """Numbers written in words, and whether the target has them as digits; never a finding."""
+        own = self.numbers.where("role = 'spelled_out'").join(self.counts, [*self.KEYS, "normalized"], "left")
+        return own.select(*self.KEYS, "id", "raw", "normalized", F.col("found").isNotNull().alias("found_as_digits"))
+
+    def tables(self) -> DataFrame:
+        """keys, ordinal, id, label, rows_src, rows_tgt, missing, extra (maps of values to counts) and ok: the k-th table of the
+        ledger against the k-th one of the target."""
+        by = [*self.KEYS, "ordinal"]
+        filled = F.coalesce(F.size(F.filter("cells", lambda r: F.exists(r, lambda c: F.trim(c) != ""))), F.col("n_rows"))
+        source = self.ledger.where("kind = 'table'").withColumn("ordinal", F.row_number().over(Window.partitionBy(*self.KEYS).orderBy("place"))).withColumn("rows_src", filled)
+        target = self.targets.select(*self.KEYS, F.posexplode("reading.tables").alias("at", "t")).select(*self.KEYS, (F.col("at") + 1).alias("ordinal"), "t.values", F.col("t.filled_rows").alias("rows_tgt"))
+        each = source.select(*by, F.explode("values").alias("v"), F.lit(1).alias("d")).union(target.select(*by, F.explode("values"), F.lit(-1)))
+        differ = each.groupBy(*by, "v").agg(F.sum("d").alias("d")).where("d <> 0").groupBy(*by).agg(F.collect_list(F.struct("v", "d")).alias("all"))
+        side = lambda sign: F.map_from_entries(F.array_sort(F.transform(F.filter(F.coalesce("all", F.array().cast("array<struct<v:string,d:bigint>>")), lambda x: sign * x["d"] > 0), lambda x: F.struct(x["v"], sign * x["d"]))))
+        both = source.join(target.select(*by, "rows_tgt"), by, "left").join(differ, by, "left")
+        both = both.select(*by, "id", "label", "rows_src", "rows_tgt", side(F.lit(1)).alias("missing"), side(F.lit(-1)).alias("extra"))
+        return both.withColumn("ok", F.col("rows_tgt").isNotNull() & (F.size("missing") == 0) & (F.size("extra") == 0) & F.col("rows_src").eqNullSafe(F.col("rows_tgt")))
+
+    def references(self) -> DataFrame:
+        """keys, id, similarity, verbatim, target_text of each reference of the ledger."""
+        return best_references(self.ledger.where("kind = 'reference'"), self.targets.select(*self.KEYS, F.explode("reading.entries").alias("text")), self.KEYS)
+
+    def citations(self) -> DataFrame:
+        """keys, key, expected, found, ok of each citation of the ledger."""
+        found = self.targets.select(*self.KEYS, F.explode("reading.citations").alias("key")).groupBy(*self.KEYS, "key").agg(F.count("*").alias("found"))
+        both = self.ledger.where("kind = 'citation'").join(found, [*self.KEYS, "key"], "left")
+        return both.select(*self.KEYS, "key", F.col("occurrences").alias("expected"), F.coalesce("found", F.lit(0)).alias("found")).withColumn("ok", F.col("expected") == F.col("found"))
+
+    def verdicts(self) -> DataFrame:
+        """keys, expected_distinct, matched, missing, tables, tables_ok, references, verbatim, majors and verdict of each target."""
+        count = lambda condition: F.count(F.when(condition, 1))
+        v = self.values().groupBy(*self.KEYS).agg(F.count("*").alias("expected_distinct"), count(F.col("status") != "missing").alias("matched"), count(F.col("status") == "missing").alias("missing"))
+        t = self.tables().groupBy(*self.KEYS).agg(F.count("*").alias("tables"), count(F.col("ok")).alias("tables_ok"))
+        r = self.references().groupBy(*self.KEYS).agg(F.count("*").alias("references"), count(F.col("verbatim")).alias("verbatim"))
+        out = self.targets.select(*self.KEYS).join(v, self.KEYS, "left").join(t, self.KEYS, "left").join(r, self.KEYS, "left").na.fill(0)
+        out = out.withColumn("majors", F.col("missing") + F.col("tables") - F.col("tables_ok") + F.col("references") - F.col("verbatim"))
+        return out.withColumn("verdict", F.when(F.col("majors") == 0, "attestable").otherwise("not attestable"))
+
+
+def rebuild_first(verdicts: DataFrame, version: str) -> DataFrame:
+    """verdicts with rebuild_ledger_first: major findings against a ledger of an older reader are no proof against the target."""
+    older = F.lit(version != L.READER_VERSION) & (F.col("majors") > 0)
+    return verdicts.withColumn("rebuild_ledger_first", older).withColumn("verdict", F.when(older, F.concat("verdict", F.lit(": rebuild the ledger first"))).otherwise(F.col("verdict")))
+
+
+class Deck:
+    """Slides against the ledger: a deck may condense but not introduce a number.
+
+    slides has project, deck, slide, numbers (hits) and chart_values (series, category, normalized).
+    """
+
+    def __init__(self, ledger: DataFrame, slides: DataFrame, ignore: Iterable[str] = ()):
+        own = ["project"]
+        known = ledger.where("kind = 'number'").select(*own, "normalized").union(ledger.where("kind IN ('table', 'figure')").select(*own, F.explode("values"))).union(L.date_parts(ledger, own))
+        self.known = known.distinct().withColumn("known", F.lit(True))
+        said = slides.select("project", "deck", "slide", F.posexplode("numbers").alias("pos", "h")).select("project", "deck", "slide", "pos", "h.raw", "h.normalized", "h.context", F.coalesce("h.role", F.lit("")).alias("role"), "h.unit")
+        enumeration = F.col("normalized").rlike("^[1-9]$") & F.col("unit").isNull() & (F.col("role") == "")
+        said = said.where(~F.col("normalized").isin(list(ignore)) & ~F.col("role").isin(*UNCOUNTED_ROLES) & ~enumeration)
+        shown = slides.select("project", "deck", "slide", F.posexplode("chart_values").alias("pos", "c")).select("project", "deck", "slide", (F.col("pos") + 1_000_000).alias("pos"), F.col("c.normalized").alias("raw"), "c.normalized", F.concat(F.lit("chart value: "), "c.series", F.lit(" / "), "c.category").alias("context"))
+        self.checked = said.drop("role", "unit").unionByName(shown).join(self.known, ["project", "normalized"], "left").withColumn("known", F.coalesce("known", F.lit(False)))
+
+    def introduced(self) -> DataFrame:
+        """project, deck, slide, raw, normalized, context of each number that no paper has, repeats included."""
+        return self.checked.where(~F.col("known")).select("project", "deck", "slide", "raw", "normalized", F.substring(F.trim("context"), 1, 120).alias("context"))
+
+    def verdicts(self) -> DataFrame:
+        """project, deck, covered (distinct ledger numbers shown), introduced, verdict."""
+        out = self.checked.groupBy("project", "deck").agg(F.count_distinct(F.when(F.col("known"), F.col("normalized"))).alias("covered"), F.count(F.when(~F.col("known"), 1)).alias("introduced"))
+        return out.withColumn("verdict", F.when(F.col("introduced") == 0, "lockable").otherwise("not lockable"))
+
+
+def glossary_counts(texts: DataFrame, entries: list[dict], source_lang: str, keys: list[str]) -> DataFrame:
+    """keys, lang, entry, source, target, acronym, keeps_acronym of each entry that the source text has.
+
+    texts has keys, lang and body; the entries (term_<lang>, variants_<lang>, acronym, keep_latin_acronym) are a glossary of
+    bounded size and travel with the plan.
+    """
+    from ..functions import numbers as N
+
+    def terms(lang: str) -> list[str]:
+        return [x for e in entries for x in (e.get(f"term_{lang}") or "", *(e.get(f"variants_{lang}") or []))]
+
+    def summed(lang: str, counts, variants: bool):
+        places, at = [], 1
+        for e in entries:
+            n = 1 + len(e.get(f"variants_{lang}") or [])
+            places.append((at, n if variants else 1))
+            at += n
+        return [F.aggregate(F.slice(counts, a, n), F.lit(0), lambda x, y: x + y) for a, n in places]
+
+    acronyms = [e.get("acronym") or "" for e in entries]
+
+    def counted(lang: str, variants: bool) -> DataFrame:
+        t = texts.where(F.col("lang") == lang).withColumn("c", N.term_counts(F.col("body"), terms(lang))).withColumn("a", N.term_counts(F.col("body"), acronyms))
+        return t.select(*keys, F.posexplode(F.array(*(F.struct(n.alias("n"), F.get("a", F.lit(i)).alias("a")) for i, n in enumerate(summed(lang, F.col("c"), variants))))).alias("entry", "x")).select(*keys, "entry", "x.n", "x.a")
+
+    langs = sorted({k[len("term_") :] for e in entries for k in e if k.startswith("term_")} - {source_lang})
+    source = counted(source_lang, False).select(*keys, "entry", (F.col("n") + F.col("a")).alias("source")).where("source > 0")
+    keeps = F.array(*(F.lit(bool(e.get("acronym") and e.get("keep_latin_acronym"))) for e in entries))
+    out = None
+    for lang in langs:
+        one = source.join(counted(lang, True).select(*keys, "entry", F.col("n").alias("target"), F.col("a").alias("acronym")), [*keys, "entry"]).withColumn("lang", F.lit(lang)).withColumn("keeps_acronym", F.get(keeps, "entry"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def glossary_problems(counts: DataFrame) -> DataFrame:
-    """counts(entry, source, target, acronym, keeps_acronym) with problem: absent, acronym absent, or under half of the source."""
+    """counts(source, target, acronym, keeps_acronym) with problems: absent, acronym absent, under half of the source."""
     total = F.col("target") + F.col("acronym")
-    problem = F.when(total == 0, "absent").when(F.col("keeps_acronym") & (F.col("acronym") == 0), "acronym absent").when(total < 0.5 * F.col("source"), "under-used")
-    return counts.where("source > 0").withColumn("problem", problem)
+    found = F.array_compact(F.array(F.when(total == 0, "absent"), F.when(F.col("keeps_acronym") & (F.col("acronym") == 0), "acronym absent"), F.when(total < 0.5 * F.col("source"), "under-used")))
+    return counts.where("source > 0").withColumn("problems", found)

@@ -1,56 +1,73 @@
-"""Blocks of documents and the reference list, by window functions over the block order."""
+"""Blocks and reference lists over tables of documents, and over tables of blocks."""
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import patterns as P
+from ..functions import document as D
+from ..functions import numbers as N
 from ..functions import text as T
 
+BLOCK = "struct<kind:string,text:string,section:string,style:string,cells:array<array<string>>>"
+_CELLS = pa.list_(pa.list_(pa.string()))
+_BLOCK = pa.struct([*((c, pa.string()) for c in ("kind", "text", "section", "style")), ("cells", _CELLS)])
 
-def markdown_blocks(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key, block_idx, kind (heading, paragraph, table), text, section, cells.
+#: Markdown text to an array of blocks, without any shuffle.
+blocks = N.over(lambda t: [b._asdict() for b in D.markdown_blocks(t)], f"array<{BLOCK}>", pa.list_(_BLOCK))
+_TYPESET = pa.struct([("kind", pa.string()), ("level", pa.int32()), ("text", pa.string()), ("path", pa.string()), ("numbered", pa.bool_()), ("items", pa.list_(pa.string())), ("cells", _CELLS)])
+#: Markdown text with front matter to struct(fields, blocks).
+front_matter = N.over(
+    lambda t: dict(zip(("fields", "blocks"), (lambda f: (list(f[0].items()), f[1]))(D.front_matter(t)), strict=True)),
+    "struct<fields:map<string,string>,blocks:array<struct<kind:string,level:int,text:string,path:string,numbered:boolean,items:array<string>,cells:array<array<string>>>>>",
+    pa.struct([("fields", pa.map_(pa.string(), pa.string())), ("blocks", pa.list_(_TYPESET))]),
+)
 
-    A heading begins with #; rows of a table begin with |; a list item is a paragraph of its own; other lines join up to a
-    blank one.  Lines are numbered, and a running count of block starts makes the blocks: one shuffle by document.
-    """
-    lines = docs.select(key, F.posexplode(F.split(F.coalesce(F.col(text), F.lit("")), "\\R")).alias("line", "raw")).withColumn("t", F.trim("raw"))
-    kind = F.when(F.col("t") == "", "blank").when(F.col("t").rlike(r"^#{1,6}\s"), "heading").when(F.col("t").startswith("|"), "table").when(F.col("t").rlike(r"^(?:[-*•]|\d{1,3}[.)])\s"), "item").otherwise("paragraph")
-    by = Window.partitionBy(key).orderBy("line")
-    lines = lines.withColumn("kind", kind).withColumn("before", F.lag("kind").over(by))
-    joins = ((F.col("kind") == "table") & (F.col("before") == "table")) | ((F.col("kind") == "paragraph") & F.col("before").isin("paragraph", "item"))
-    numbered = lines.withColumn("block", F.sum(F.when(joins, 0).otherwise(1)).over(by)).where("kind <> 'blank'")
-    blocks = numbered.groupBy(key, "block").agg(F.min_by("kind", "line").alias("kind"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line", "t"))), lambda x: x["t"]), "\n").alias("t"))
-    row = lambda r: F.transform(F.split(F.regexp_replace(F.regexp_replace(F.trim(r), r"^\|", ""), r"\|$", ""), r"\|"), lambda c: F.trim(c))
-    cells = F.filter(F.transform(F.split("t", "\n"), row), lambda r: ~T.is_rule_row(r))
-    order = Window.partitionBy(key).orderBy("block")
-    heading = F.when(F.col("kind") == "heading", F.regexp_replace("t", r"^#{1,6}\s+", ""))
-    return blocks.select(
-        key,
-        (F.row_number().over(order) - 1).alias("block_idx"),
-        F.when(F.col("kind") == "item", "paragraph").otherwise(F.col("kind")).alias("kind"),
-        F.when(F.col("kind") == "heading", heading).when(F.col("kind") == "table", "").otherwise(F.col("t")).alias("text"),
-        F.coalesce(F.last(heading, ignorenulls=True).over(order), F.lit("")).alias("section"),
-        F.when(F.col("kind") == "table", cells).alias("cells"),
-    )
+
+def made(given: list[dict] | None) -> list[D.Block]:
+    """Blocks of a column's value."""
+    return [D.Block(b["kind"], b["text"] or "", b["section"] or "", b["style"], b["cells"] or ([] if b["kind"] == "table" else None)) for b in given or []]
+
+
+in_references = N.over(lambda b: D.in_references(made(b)), "array<boolean>", pa.list_(pa.bool_()))
+#: The document as text that `blocks` reads back.
+dump = N.over(lambda b: D.dump(made(b)), "string", pa.string())
+
+
+def plain_text(b: Column) -> Column:
+    """Texts of all blocks, a line each."""
+    return F.array_join(F.transform(b, lambda x: x["text"]), "\n")
+
+
+def exploded(docs: DataFrame, b: Column, *keys: str) -> DataFrame:
+    """keys, block_idx, kind, text, section, style, cells."""
+    return docs.select(*keys, F.posexplode(b).alias("block_idx", "b")).select(*keys, "block_idx", "b.*")
+
+
+def markdown_blocks(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """key, block_idx, kind (heading, paragraph, table), text, section, style, cells of every Markdown text."""
+    return exploded(docs, blocks(F.col(text)), key)
 
 
 def with_references(blocks: DataFrame, key: str = "doc_id") -> DataFrame:
-    """blocks with in_refs: the list opens at its heading and ends at a heading, a table or the first paragraph that neither
-    looks like an entry nor is followed, within two paragraphs, by one."""
+    """blocks, one a row, with in_refs: the same as `in_references`, for documents too large to be one value.
+
+    The list opens at its heading and ends at a heading, a table or the first paragraph that neither looks like an entry nor is
+    followed, within two paragraphs, by one; so it is a matter of windows over the block order, in one shuffle.
+    """
     order = Window.partitionBy(key).orderBy("block_idx")
-    par = F.col("kind") == "paragraph"
-    b = blocks.withColumn("looks", par & T.looks_like_reference(F.col("text"))).withColumn("entry", par & T.is_reference_entry(F.col("text")))
+    par, text = F.col("kind") == "paragraph", F.col("text")
+    signs = {"looks": N.looks_like_reference, "entry": N.opens_entry, "closes": N.closes_references, "note": N.opens_note, "refs": N.is_references_heading}
+    b = blocks.select("*", *(f(text).alias(f"_{n}") for n, f in signs.items()))
     next_is = lambda n, c: F.coalesce(F.lead(c, n).over(order), F.lit(False))
-    b = b.withColumn("goes_on", (next_is(1, par) & next_is(1, "entry")) | (next_is(1, par) & next_is(2, par) & next_is(2, "entry")))
-    b = b.withColumn("stops", par & ~F.col("looks") & (F.col("text").rlike(P.AFTER_REFERENCES) | ~F.col("goes_on")))
-    b = b.withColumn("segment", F.sum((~par).cast("int")).over(order))
-    inside = Window.partitionBy(key, "segment").orderBy("block_idx")
-    opens = F.first((F.col("kind") == "heading") & T.is_references_heading(F.col("text"))).over(inside)
-    seen = F.sum(F.col("looks").cast("int")).over(inside)
-    note = ~F.col("looks") & ((seen == 0) | F.col("text").rlike(r"(?iuU)^\s*(?:note|nb|n\.b\.|remarque|nota)\b"))
-    return b.withColumn("in_refs", par & opens & ~F.max("stops").over(inside) & ~note).drop("looks", "entry", "goes_on", "stops", "segment")
+    goes_on = (next_is(1, par) & next_is(1, F.col("_entry"))) | (next_is(1, par) & next_is(2, par) & next_is(2, F.col("_entry")))
+    b = b.withColumn("_stops", par & ~F.col("_looks") & (F.col("_closes") | ~goes_on)).withColumn("_segment", F.sum((~par).cast("int")).over(order))
+    inside = Window.partitionBy(key, "_segment").orderBy("block_idx")
+    opens = F.first((F.col("kind") == "heading") & F.col("_refs")).over(inside)
+    seen = F.sum((par & F.col("_looks")).cast("int")).over(inside)
+    b = b.withColumn("in_refs", par & opens & ~F.max("_stops").over(inside) & (F.col("_looks") | ((seen > 0) & ~F.col("_note"))))
+    return b.select(*blocks.columns, "in_refs")
 
 
 def captions(blocks: DataFrame, key: str = "doc_id") -> DataFrame:

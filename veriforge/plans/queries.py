@@ -1,16 +1,23 @@
-"""The registered queries of the document-fidelity operators and their DuckDB equivalents."""
+"""The registered queries of the document-fidelity operators and their DuckDB equivalents.
+
+Papers, slides, letters and registers are written from the tables' own values, so that what the operators must find is known.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import grammar as G
 from ..functions import numbers as N
-from ..functions import patterns as P
 from ..functions import text as T
-from ..operators import attest, deck, reconcile, structure
+from ..functions import vocabulary as V
+from ..operators import attest, carryover, deck, reconcile, structure
+from ..operators import ledger as L
+from ..sinks import office as sinks
+from ..sources import office as sources
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,16 +27,25 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def _written(x: Column, locale: str) -> Column:
     en = F.format_number(x, 2)
     if locale == "fr":
-        return F.translate(en, ",.", " ,")
+        return F.translate(en, ",.", V.SPACES["narrow"] + ",")
     if locale == "ar":
-        return F.translate(en, ",." + P.DIGITS_TO[:10], "٬٫" + P.DIGITS_FROM[:10])
+        return F.translate(en, ",." + "0123456789", V.ARABIC_THOUSANDS + V.ARABIC_DECIMAL + V.ARABIC_DIGITS)
     return en
 
 
+def _whole(x: Column) -> Column:
+    return x.cast("int").cast("string")
+
+
+# -- numbers and dates
+
+
 def _round_trip(locale: str) -> Callable[[SparkSession, str], DataFrame]:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        lines = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", F.concat(F.lit("total : "), _written(F.col("l_extendedprice"), locale), F.lit(" units")).alias("t"))
-        return lines.select("l_orderkey", "l_partkey", F.explode(N.numbers(F.col("t"), locale)).alias("h")).select("l_orderkey", "l_partkey", F.col("h.normalized").alias("normalized"))
+        lines = _t(spark, sf_dir, "lineitem")
+        said = F.concat(F.lit("total : "), _written(F.col("l_extendedprice"), locale), F.lit(" (n = "), _whole(F.col("l_quantity")), F.lit("), "), _whole(F.round(F.col("l_discount") * 100)), F.lit(" % ; table "), F.col("l_linenumber").cast("string"))
+        hits = lines.select("l_orderkey", "l_partkey", F.explode(N.numbers(said, locale)).alias("h"))
+        return hits.select("l_orderkey", "l_partkey", "h.normalized", "h.unit", "h.role")
 
     return query
 
@@ -40,7 +56,7 @@ def _sentence(df: DataFrame, value: Column) -> DataFrame:
 
 
 def _hits(df: DataFrame, locale: str = "fr") -> DataFrame:
-    return df.select("l_orderkey", F.explode(N.numbers(F.col("t"), locale)).alias("h")).select("l_orderkey", F.col("h.normalized").alias("normalized"))
+    return df.select("l_orderkey", F.explode(N.numbers(F.col("t"), locale)).alias("h")).select("l_orderkey", "h.normalized")
 
 
 def recon_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,64 +73,285 @@ def introduced_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def table_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = _t(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_quantity").cast("int").cast("string").alias("normalized"), "l_returnflag")
+    lines = _t(spark, sf_dir, "lineitem").select("l_orderkey", _whole(F.col("l_quantity")).alias("normalized"), "l_returnflag")
     return reconcile.table_difference(lines.where("l_returnflag <> 'A'"), lines.where("l_returnflag <> 'R'"), ["l_orderkey"])
 
 
 def date_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = F.array(*[F.lit(m) for m in "janvier février mars avril mai juin juillet août septembre octobre novembre décembre".split()])
-    d = F.col("o_orderdate")
-    orders = _t(spark, sf_dir, "orders").select("o_orderkey", F.concat(F.lit("le "), F.dayofmonth(d).cast("string"), F.lit(" "), F.element_at(names, F.month(d)), F.lit(" "), F.year(d).cast("string"), F.lit(", lot")).alias("t"))
-    return orders.select("o_orderkey", F.explode(N.numbers(F.col("t"), "fr")).alias("h")).select("o_orderkey", F.col("h.normalized").alias("normalized"), F.col("h.role").alias("role"))
+    """Dates in French, English and Arabic words, by turns."""
+    d, turn = F.col("o_orderdate"), F.col("o_orderkey") % 3
+    name = lambda i: F.element_at(F.array(*(F.lit(names[i]) for names in V.MONTHS.values())), F.month(d))
+    english = F.element_at(F.array(*(F.lit(next(x for x in names if x.isascii() and x in "january february march april may june july august september october november december".split())) for names in V.MONTHS.values())), F.month(d))
+    arabic = F.element_at(F.array(*(F.lit(next(x for x in names if not x[0].isascii() and " " not in x)) for names in V.MONTHS.values())), F.month(d))
+    day, year = F.dayofmonth(d).cast("string"), F.year(d).cast("string")
+    said = F.when(turn == 0, F.concat(F.lit("le "), day, F.lit(" "), name(0), F.lit(" "), year, F.lit(", lot"))).when(turn == 1, F.concat(F.lit("on "), english, F.lit(" "), day, F.lit(", "), year, F.lit(" it came"))).otherwise(F.concat(F.lit("في "), day, F.lit(" "), arabic, F.lit(" "), year))
+    locale = F.when(turn == 0, "fr").when(turn == 1, "en").otherwise("ar")
+    hits = _t(spark, sf_dir, "orders").select("o_orderkey", F.explode(N.numbers(said, locale)).alias("h"))
+    return hits.select("o_orderkey", "h.normalized", "h.role")
 
 
 def date_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = _t(spark, sf_dir, "orders").select("o_orderkey", F.concat(F.lit("on "), F.date_format("o_orderdate", "dd/MM/yyyy"), F.lit(" done")).alias("t"))
-    return orders.select("o_orderkey", F.explode(N.numbers(F.col("t"), "en")).alias("h")).select("o_orderkey", F.col("h.normalized").alias("normalized"), F.col("h.role").alias("role"))
+    """Dates in figures; a catalogue number of the same shape is no date, and its parts are numbers."""
+    said = F.expr("CASE o_orderkey % 3 WHEN 0 THEN date_format(o_orderdate, 'dd/MM/yyyy') WHEN 1 THEN date_format(o_orderdate, 'yyyy-MM-dd') ELSE date_format(o_orderdate, 'd-M-yyyy') END")
+    orders = _t(spark, sf_dir, "orders").select("o_orderkey", F.explode(N.numbers(F.concat(F.lit("on "), said, F.lit(" done, item 45-28-0001, part 3.4.2011")), "en")).alias("h"))
+    return orders.select("o_orderkey", "h.normalized", "h.role")
 
 
 def blanked_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    count = lambda rx: F.size(F.regexp_extract_all("text", F.lit(rx), F.lit(0))).cast("long")
-    return _t(spark, sf_dir, "documents").select("doc_id", count(P.HASH).alias("hashes"), F.length(T.blanked(T.visible(F.col("text")), P.HASH)).cast("long").alias("length"))
+    digest = T.java(G.DIGEST)
+    count = F.size(F.regexp_extract_all("text", F.lit(digest), F.lit(0))).cast("long")
+    return _t(spark, sf_dir, "documents").select("doc_id", count.alias("hashes"), F.length(T.blanked(T.visible(F.col("text")), digest)).cast("long").alias("length"))
+
+
+def page_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Addresses, DOIs, digests and section numbers hold no figures; what stands beside them does."""
+    pages = _t(spark, sf_dir, "pages")
+    said = F.concat(F.lit("see "), "url", F.lit(" , doi: 10.1000/"), F.col("page_id").cast("string"), F.lit(" or section 2.3."), (F.col("page_id") % 9).cast("string"), F.lit(" ; page "), F.col("page_id").cast("string"), F.lit(" of "), F.length("html").cast("string"))
+    return pages.select("page_id", F.explode(N.numbers(said, "en")).alias("h")).select("page_id", "h.normalized")
 
 
 def cite_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", F.concat(F.lit("as reported ["), F.col("l_linenumber").cast("string"), F.lit("–"), (F.col("l_linenumber") + F.col("l_partkey") % 5 + 1).cast("string"), F.lit("]")).alias("t"))
-    return lines.select("l_orderkey", "l_partkey", F.explode(N.citations(F.col("t"))).alias("key")).groupBy("l_orderkey", "l_partkey", "key").agg(F.count("*").alias("n"))
+    """Keys in brackets, by lists and ranges; an interval after a value, and one with a zero, are none; authors with their year."""
+    a = F.col("l_linenumber")
+    b = a + F.col("l_partkey") % 5 + 1
+    text = lambda x: x.cast("string")
+    said = F.concat(F.lit("as reported ["), text(a), F.lit("–"), text(b), F.lit("], also ["), text(a), F.lit(","), text(b + 40), F.lit("]; median "), _whole(F.col("l_quantity")), F.lit(" ["), text(a), F.lit("–"), text(b), F.lit("], low [0,"), text(a), F.lit("–"), text(b), F.lit(",5] (Abadi and Kovac, "), text(F.year("l_shipdate")), F.lit(")"))
+    return _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", F.explode(N.citations(said)).alias("key")).groupBy("l_orderkey", "l_partkey", "key").agg(F.count("*").alias("n"))
+
+
+# -- structure
+
+
+def _own_lines(text: str = "text") -> Column:
+    """A document's own lines, each a block of its own."""
+    return F.regexp_replace(F.coalesce(text, F.lit("")), "\n", "\n\n")
 
 
 def block_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _t(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("# part "), F.col("lang"), F.lit("\n\nopening\n\n| a | b |\n|---|---|\n| 1 | 2 |\n\n## "), F.col("source"), F.lit("\nclosing")).alias("text"))
-    return structure.markdown_blocks(docs).select("doc_id", F.col("block_idx").cast("long").alias("block_idx"), "kind", "section", F.coalesce(F.size("cells"), F.lit(0)).cast("long").alias("n_rows"))
+    docs = _t(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("# part "), "lang", F.lit("\n\n"), _own_lines(), F.lit("\n\n| a | b |\n|---|---|\n| 1 | 2 |\n\n## "), "source", F.lit("\nclosing")).alias("text"))
+    found = structure.markdown_blocks(docs)
+    return found.select("doc_id", F.col("block_idx").cast("long").alias("block_idx"), "kind", "section", F.when(F.col("kind") == "paragraph", F.length("text")).otherwise(0).cast("long").alias("length"), F.coalesce(F.size("cells"), F.lit(0)).cast("long").alias("n_rows"))
+
+
+def _with_list(docs: DataFrame) -> Column:
+    """The document's lines, then a reference list that ends in one of three ways."""
+    entries = F.array_join(F.transform(F.sequence(F.lit(1), (F.col("doc_id") % 4 + 1).cast("int")), lambda i: F.concat(i.cast("string"), F.lit(". Abadi K, Moreau L. Essay "), F.col("lang"), F.lit(". 20"), (i + 10).cast("string"), F.lit(";4:"), i.cast("string"), F.lit("."))), "\n\n")
+    ending = F.when(F.col("doc_id") % 3 == 0, "Remerciements\n\nThanks to all 1 of them.").when(F.col("doc_id") % 3 == 1, "| a |\n|---|\n| 1 |\n\n2. Brunn G. After the table. 2012.").otherwise("# End\n\nlast words")
+    return F.concat(F.lit("# Body\n\n"), _own_lines(), F.lit("\n\n# Références\n\nKept as they were typed.\n\n"), entries, F.lit("\n\n"), ending)
 
 
 def refs_region(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _t(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("# Body\n\nplain words\n\n# Références\n\n1. Soufi G, Vo V. Title. 2010;10:149.\n\n"), F.when(F.col("doc_id") % 2 == 0, "Remerciements\n\nthanks to all").otherwise("2. Dawe J, other. 2011;3:1.\n\n# End\n\nlast")).alias("text"))
-    return structure.with_references(structure.markdown_blocks(docs)).groupBy("doc_id").agg(F.sum(F.col("in_refs").cast("long")).alias("entries"), F.count("*").alias("blocks"))
+    docs = _t(spark, sf_dir, "documents")
+    found = structure.with_references(structure.markdown_blocks(docs.select("doc_id", _with_list(docs).alias("text"))))
+    return found.groupBy("doc_id").agg(F.sum(F.col("in_refs").cast("long")).alias("entries"), F.count("*").alias("blocks"))
+
+
+def reference_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entries wrapped over two paragraphs are one; the index is the typed one."""
+    docs = _t(spark, sf_dir, "documents").select("doc_id", structure.blocks(F.regexp_replace(_with_list(_t(spark, sf_dir, "documents")), r"\. 20(\d+);", ".\n\n20$1;")).alias("blocks"))
+    items = L.extracted(docs, ["doc_id"], F.col("blocks"), F.lit("en"), F.lit("E")).where("kind = 'reference'")
+    return items.select("doc_id", "id", "index", "text")
 
 
 GLOSSARY = {"de": "die", "en": "the", "es": "la", "fr": "les"}
 
 
 def glossary_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _t(spark, sf_dir, "documents").select("doc_id", "lang", T.folded(F.col("text")).alias("t"))
-    n = F.lit(0)
-    for lang, term in GLOSSARY.items():
-        n = F.when(F.col("lang") == lang, T.term_count(term, F.col("t"))).otherwise(n)
-    return docs.groupBy("lang").agg(F.sum(n.cast("long")).alias("n_term"), F.count("*").alias("n_docs"))
+    docs = _t(spark, sf_dir, "documents").select("lang", N.term_counts(F.col("text"), list(GLOSSARY.values())).alias("c"))
+    own = F.get(F.col("c"), F.array_position(F.array(*(F.lit(k) for k in GLOSSARY)), F.col("lang")).cast("int") - 1)
+    return docs.groupBy("lang").agg(F.sum(F.coalesce(own, F.lit(0)).cast("long")).alias("n_term"), F.count("*").alias("n_docs"))
 
 
-def deck_timing(spark: SparkSession, sf_dir: str) -> DataFrame:
+ENTRIES = [
+    {"term_fr": "lot livré", "term_en": "delivered batch", "variants_en": ["batch"], "acronym": "LL", "keep_latin_acronym": True},
+    {"term_fr": "pièces", "term_en": "pieces"},
+    {"term_fr": "retard", "term_en": "delay"},
+]
+
+
+def glossary_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Terms of an order's source text and what its translation makes of them: kept, partly kept or lost, by turns."""
+    n = F.col("n")
+    orders = _t(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count("*").cast("int").alias("n"))
+    source = F.concat(F.repeat(F.lit("Le lot livré (LL) compte dix pièces. "), n), F.lit("Sans retardement."))
+    target = F.when(F.col("l_orderkey") % 3 == 0, F.repeat(F.lit("The delivered batch (LL) has ten pieces. "), n)).when(F.col("l_orderkey") % 3 == 1, F.lit("A batch of pieces.")).otherwise("Nothing of it.")
+    texts = orders.select("l_orderkey", F.lit("fr").alias("lang"), source.alias("body")).union(orders.select("l_orderkey", F.lit("en"), target))
+    found = reconcile.glossary_problems(reconcile.glossary_counts(texts, ENTRIES, "fr", ["l_orderkey"]))
+    return found.select("l_orderkey", F.col("entry").cast("long").alias("entry"), F.col("source").cast("long").alias("source"), F.col("target").cast("long").alias("target"), F.array_join("problems", "; ").alias("problems"))
+
+
+# -- ledger, translation, deck
+
+_PAPER = {
+    "fr": ("# Résultats", "Le lot livré compte {q} pièces à {p} euros [{a}–{b}].", "| Lot | Nombre |", "Tableau 1. Lots livrés.", "# Références"),
+    "en": ("# Results", "The batch has {q} pieces at {p} euros [{a}–{b}].", "| Batch | Number |", "Table 1. Batches delivered.", "# References"),
+}
+
+
+def _papers(spark: SparkSession, sf_dir: str, locale: str, quantity: Column) -> DataFrame:
+    """project (an order), paper, locale, prefix, blocks: a paper on the order's lines with a table, a caption and a reference."""
+    heading, sentence, header, caption, references = _PAPER[locale]
+    lines = _t(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", _whole(quantity).alias("q")))).alias("lines"))
+
+    def said(x: Column) -> Column:
+        parts = {"{q}": x["q"], "{p}": _written(x["l_extendedprice"], locale), "{a}": x["l_linenumber"].cast("string"), "{b}": (x["l_linenumber"] + 2).cast("string")}
+        out, rest = [], sentence
+        for mark, value in parts.items():
+            before, _, rest = rest.partition(mark)
+            out += [F.lit(before), value]
+        return F.concat(*out, F.lit(rest))
+
+    rows = F.array_join(F.transform("lines", lambda x: F.concat(F.lit("| "), x["l_linenumber"].cast("string"), F.lit(" | "), x["q"], F.lit(" |"))), "\n")
+    text = F.concat(F.lit(heading + "\n\n"), F.array_join(F.transform("lines", said), "\n\n"), F.lit(f"\n\n{header}\n|---|---|\n"), rows, F.lit(f"\n\n{caption}\n\n{references}\n\n1. Abadi K. Essays on batches. J Lots. 2011;12:3. doi:10.1000/lots.1\n"))
+    return lines.select(F.col("l_orderkey").alias("project"), F.lit("a").alias("paper"), F.lit(locale).alias("locale"), F.lit("E").alias("prefix"), structure.blocks(text).alias("blocks"))
+
+
+def _ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    papers = _papers(spark, sf_dir, "fr", F.col("l_quantity"))
+    return L.extracted(papers, ["project", "paper"], F.col("blocks"), F.col("locale"), F.col("prefix"))
+
+
+def ledger_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    value = F.when(F.col("kind") == "number", F.col("normalized")).when(F.col("kind") == "table", F.concat_ws("|", "label", F.array_join("values", ","))).when(F.col("kind") == "citation", F.concat_ws("|", "key", F.col("occurrences").cast("string"))).otherwise(F.concat_ws("|", F.col("index").cast("string"), "doi"))
+    return _ledger(spark, sf_dir).select("project", "id", "kind", value.alias("value"), F.coalesce("paragraph_index", F.lit(0)).cast("long").alias("paragraph_index"))
+
+
+def ledger_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = L.summary(_ledger(spark, sf_dir), ["project"])
+    return found.select("project", "numbers", "tables", "citations", F.col("references").alias("entries"))
+
+
+def _translation(spark: SparkSession, sf_dir: str) -> reconcile.Translation:
+    """The English papers, in which quantities of returned lines are wrong by 100."""
+    wrong = F.when(F.col("l_returnflag") == "R", F.col("l_quantity") + 100).otherwise(F.col("l_quantity"))
+    targets = _papers(spark, sf_dir, "en", wrong).select("project", "paper", L.reading("blocks", "locale").alias("reading"))
+    return reconcile.Translation(_ledger(spark, sf_dir), targets)
+
+
+def translation_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _translation(spark, sf_dir).values().select("project", "normalized", "expected", "found", "status")
+
+
+def translation_introduced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _translation(spark, sf_dir).introduced().select("project", "normalized", "raw")
+
+
+def translation_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    count = lambda m: F.aggregate(F.map_values(m), F.lit(0).cast("long"), lambda a, b: a + b)
+    return _translation(spark, sf_dir).tables().select("project", "id", F.col("rows_src").cast("long").alias("rows_src"), F.col("rows_tgt").cast("long").alias("rows_tgt"), count("missing").alias("missing"), count("extra").alias("extra"), "ok")
+
+
+def translation_citations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _translation(spark, sf_dir).citations().select("project", "key", F.col("expected").cast("long").alias("expected"), "found", "ok")
+
+
+def translation_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = _translation(spark, sf_dir).verdicts()
+    return found.select("project", "expected_distinct", "matched", "missing", "tables_ok", "verbatim", "majors", "verdict")
+
+
+def attested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attest.rolled_up(_translation(spark, sf_dir).verdicts()).drop("paper")
+
+
+def deck_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A slide a line, with a quantity, a price on the slide and in a chart, and a code that no paper has."""
+    lines = _t(spark, sf_dir, "lineitem")
+    said = F.concat(F.lit("Livré : "), _whole(F.col("l_quantity")), F.lit(" pièces, "), _written(F.col("l_extendedprice"), "fr"), F.lit(" euros, code "), (F.col("l_partkey") + 100_000).cast("string"))
+    chart = F.array(F.struct(F.lit("prix").alias("series"), F.col("l_linenumber").cast("string").alias("category"), F.translate(F.format_number("l_extendedprice", 2), ",", "").alias("normalized")))
+    slides = lines.select(F.col("l_orderkey").alias("project"), F.lit("d").alias("deck"), F.col("l_linenumber").alias("slide"), N.numbers(said, "fr").alias("numbers"), chart.alias("chart_values"))
+    return reconcile.Deck(_ledger(spark, sf_dir), slides).verdicts().select("project", "covered", "introduced", "verdict")
+
+
+def verbatim_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entries with an index and in capitals, reversed, without their last character, or with their first tenth typed over."""
+    b = _t(spark, sf_dir, "benchmark").select("item_id", F.lit(1).alias("paper"), F.substring(F.regexp_replace("text", r"\s+", " "), 1, 150).alias("text"))
+    kind, n = F.col("item_id") % 4, F.length("text")
+    text = F.when(kind == 0, F.concat(F.lit("["), (F.col("item_id") % 90 + 1).cast("string"), F.lit("] "), F.upper("text"))).when(kind == 1, F.reverse("text")).when(kind == 2, F.substring(F.col("text"), F.lit(1), n - 1)).otherwise(F.concat(F.lit("q" * 15), F.substring(F.col("text"), F.lit(16), n)))
+    return reconcile.best_references(b, b.select("paper", text.alias("text")), ["paper"], "item_id").select(F.col("id").alias("item_id"), "verbatim")
+
+
+# -- carry-over
+
+
+def carry_over(spark: SparkSession, sf_dir: str) -> DataFrame:
+    numbered = _t(spark, sf_dir, "orders").select("o_custkey", "o_orderstatus", "o_orderkey")
+    old = numbered.withColumnRenamed("o_orderkey", "old_id")
+    new = numbered.where("o_orderkey % 7 <> 0").withColumnRenamed("o_orderkey", "new_id")
+    return reconcile.ranked_match(old, new, ["o_custkey", "o_orderstatus"], "old_id", "new_id")
+
+
+def _version(spark: SparkSession, sf_dir: str, orders: DataFrame, prefix: str) -> DataFrame:
+    """A customer's orders as the numbers of a paper: the status is the value, the order the place."""
+    none = {c: F.lit(None).cast("string") for c in ("role", "label", "key", "text")}
+    return orders.select(
+        F.lit("p").alias("project"), F.col("o_custkey").cast("string").alias("paper"), F.concat(F.lit(prefix), F.col("o_orderkey").cast("string")).alias("id"), F.lit("number").alias("kind"), F.col("o_orderkey").alias("place"),
+        (F.col("o_orderkey") % 2).cast("int").alias("paragraph_index"), F.ascii("o_orderstatus").cast("string").alias("raw"), F.ascii("o_orderstatus").cast("string").alias("normalized"), F.lit("").alias("context"), F.lit(None).cast("int").alias("index"),
+        F.lit("script").alias("extracted_by"), F.array().cast("array<string>").alias("linked_items"), *(v.alias(c) for c, v in none.items()),
+    )
+
+
+def carried_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Claims that link to every number of an old ledger, after one order in seven has gone: the same rank at the same place, or
+    else the first equal value of the paragraph."""
+    orders = _t(spark, sf_dir, "orders")
+    old, new = _version(spark, sf_dir, orders, "O-"), _version(spark, sf_dir, orders.where("o_orderkey % 7 <> 0"), "N-")
+    claims = old.select("project", "paper", F.concat(F.lit("CL-"), "id").alias("id"), F.lit("claim").alias("kind"), (F.col("place") + 1_000_000_000).alias("place"), F.lit(None).cast("int").alias("paragraph_index"), *(F.lit(None).cast("string").alias(c) for c in ("raw", "normalized", "context")), F.lit(None).cast("int").alias("index"), F.lit("assistant").alias("extracted_by"), F.array("id").alias("linked_items"), *(F.lit(None).cast("string").alias(c) for c in ("role", "label", "key", "text")))
+    both = old.unionByName(claims)
+    kept = carryover.carried(both, new, carryover.mapping(both, new))
+    return kept.select("id", F.get("linked_items", F.lit(0)).alias("link"), F.size("lost_links").cast("long").alias("lost"))
+
+
+def item_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = _t(spark, sf_dir, "orders").select("o_orderstatus", "o_orderkey")
+    return structure.item_ids(items, F.concat(F.lit("P-"), F.col("o_orderstatus")), ["o_orderkey"], ["o_orderstatus"], 7)
+
+
+# -- decks
+
+
+def _slides(spark: SparkSession, sf_dir: str) -> DataFrame:
     kinds = F.element_at(F.array(*[F.lit(k) for k in ("title", "bullets", "table", "chart", "annex_marker")]), (F.col("turn") % 5 + 1).cast("int"))
-    slides = _t(spark, sf_dir, "conversations").groupBy("conv_id", "turn").agg(F.count("*").alias("copies")).withColumn("type", kinds).withColumn("seconds", F.lit(None).cast("int"))
-    return deck.timed(slides, "conv_id", "turn").select("conv_id", "turn", "in_annex", "own_seconds", "running")
+    return _t(spark, sf_dir, "conversations").groupBy("conv_id", "turn").agg(F.count("*").alias("copies")).withColumn("type", kinds).withColumn("seconds", F.when(F.col("turn") % 7 == 6, 20).cast("int"))
+
+
+def deck_timing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return deck.timed(_slides(spark, sf_dir), "conv_id", "turn").select("conv_id", "turn", "in_annex", "own_seconds", "running")
+
+
+def deck_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return deck.totals(deck.timed(_slides(spark, sf_dir), "conv_id", "turn"), "conv_id", 180).select("conv_id", "total", "slides", "timed", "minutes", "within")
 
 
 def deck_lint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    slides = _t(spark, sf_dir, "conversations").select("conv_id", "turn", F.lit("Discussion").alias("title"), F.split("text", "\\. ").alias("bullets"), F.when(F.col("role") == "user", "").otherwise("said").alias("notes"))
+    slides = _t(spark, sf_dir, "conversations").select("conv_id", "turn", F.when(F.col("turn") % 2 == 0, "Discussion").otherwise("What it means").alias("title"), F.split("text", "\\. ").alias("bullets"), F.when(F.col("role") == "user", "").otherwise("said").alias("notes"))
     return deck.lint(slides, "conv_id", "turn").groupBy("conv_id", "turn", "warning").agg(F.count("*").alias("n"))
 
 
+def deck_charts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decks, written as slide files and read back: a chart of each nation's balances, and the layout and notes of its slides."""
+    customers = _t(spark, sf_dir, "customer").groupBy("c_nationkey").agg(F.array_sort(F.collect_list(F.struct("c_custkey", "c_acctbal"))).alias("c"))
+    slide = lambda n, kind, chart: F.struct(F.lit(n).alias("slide"), F.lit(kind).alias("type"), F.lit(f"Slide {n}").alias("title"), F.lit(None).cast("string").alias("subtitle"), F.lit(None).cast("array<struct<text:string,level:int>>").alias("bullets"), F.lit(None).cast("array<string>").alias("header"), F.lit(None).cast("array<array<string>>").alias("rows"), chart.alias("chart"), F.lit(f"said {n}").alias("notes"), F.lit(False).alias("in_annex"), F.lit(0).cast("long").alias("own_seconds"), F.lit(0).cast("long").alias("running"))
+    chart = F.struct(F.lit("column").alias("kind"), F.transform("c", lambda x: x["c_custkey"].cast("string")).alias("categories"), F.array(F.struct(F.lit("balance").alias("name"), F.transform("c", lambda x: x["c_acctbal"]).alias("values"))).alias("series"))
+    kind = "struct<kind:string,categories:array<string>,series:array<struct<name:string,values:array<double>>>>"
+    files = customers.select("c_nationkey", sinks.deck_file(F.array(slide(1, "title", F.lit(None).cast(kind)), slide(2, "chart", chart.cast(kind))), F.lit("foot 99")).alias("content"))
+    read = files.select("c_nationkey", F.explode(sources.slides(F.col("content"))).alias("s"))
+    return read.select("c_nationkey", "s.layout", "s.notes", F.explode_outer("s.chart_values").alias("v")).select("c_nationkey", "layout", "notes", F.col("v.category").alias("category"), F.col("v.normalized").alias("normalized"))
+
+
+def typeset_papers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents typeset as word-processor files and read back, block by block."""
+    own = F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x00-\x20*]+", " "))
+    md = F.concat(F.lit("---\ntitle: Corpus "), "lang", F.lit("\n---\n## "), "source", F.lit("\n\nText: "), own, F.lit("\n\n- one\n- two\n\n| a | b |\n|---|---|\n| 1 | 2 |\n\n## References\n\n1. Abadi K. Essays. 2011.\n"))
+    made = _t(spark, sf_dir, "documents").select("doc_id", sinks.typeset(md, "en").alias("f"))
+    blocks = sources._blocks(F.lit("paper.docx"), F.col("f.content"))
+    read = made.select("doc_id", F.col("f.counts").alias("n"), F.posexplode(blocks).alias("block_idx", "b"))
+    return read.select("doc_id", F.col("block_idx").cast("long").alias("block_idx"), F.col("b.kind").alias("kind"), F.col("b.section").alias("section"), F.length("b.text").cast("long").alias("length"), (F.col("n.paragraphs") + F.col("n.lists") + F.col("n.references") + F.col("n.tables") + F.col("n.headings")).cast("long").alias("counted"))
+
+
+# -- hashes, gates, letters
+
+
 def verification_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = _t(spark, sf_dir, "orders")
     return o.select("o_orderkey", T.verification_code("DOC", F.col("o_orderkey").cast("string"), F.upper("o_orderpriority"), F.date_format("o_orderdate", "yyyy-MM-dd")).alias("code"))
@@ -125,41 +362,78 @@ def stale_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", "known", (F.col("known") != F.col("now")).alias("stale"))
 
 
+def source_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = _t(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    old = d.select("doc_id", F.when(F.col("lang") != "de", F.sha2("text", 256)).alias("sha256"))
+    new = d.select("doc_id", F.sha2(F.when(F.col("doc_id") % 5 == 0, F.concat("text", F.lit("."))).otherwise(F.col("text")), 256).alias("sha256"))
+    return L.drifted(old, new, ["doc_id"]).select("doc_id", "old_sha256")
+
+
 def gate_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     lab = _t(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("quality").alias("q"), F.max("toxic").alias("t"))
-    docs = _t(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("sha256")).join(lab, "doc_id")
-    d = docs.select("doc_id", F.when(F.col("q") == 1, "valid").otherwise("invalid").alias("approval"), F.col("doc_id").alias("approved_ref"), F.col("doc_id").alias("ref"), (F.col("q") == 1).alias("locked"), F.col("t").alias("open_issues"), "sha256", F.col("sha256").alias("known_sha256"), (F.col("doc_id") % 2).alias("majors"))
+    docs = _t(spark, sf_dir, "documents").select("doc_id", "lang", F.sha2("text", 256).alias("sha")).join(lab, "doc_id")
+    k = F.col("doc_id")
+    d = docs.select(
+        "doc_id", F.when(F.col("q") == 1, "valid").otherwise("invalid").alias("approval"), F.lit("A").alias("approved_ref"), F.when(k % 3 == 0, "B").when(k % 3 == 1, "A").alias("ref"), (k % 5 > 0).alias("locked"),
+        F.col("t").alias("open_issues"), F.when(k % 7 > 0, F.col("sha")).alias("sha256"), F.when(k % 11 > 0, F.col("sha")).otherwise("stale").alias("known_sha256"), (k % 2).alias("majors"), F.col("sha").alias("deck_sha256"), F.when(k % 13 > 0, F.col("sha")).otherwise("old").alias("locked_deck_sha256"),
+    )
     return attest.gated(d).select("doc_id", F.array_join("reasons", "; ").alias("reasons"), "issued")
 
 
-def carry_over(spark: SparkSession, sf_dir: str) -> DataFrame:
-    numbered = _t(spark, sf_dir, "orders").select("o_custkey", "o_orderstatus", "o_orderkey")
-    old = numbered.withColumnRenamed("o_orderkey", "old_id")
-    new = numbered.where("o_orderkey % 7 <> 0").withColumnRenamed("o_orderkey", "new_id")
-    return reconcile.ranked_match(old, new, ["o_custkey", "o_orderstatus"], "old_id", "new_id")
+def open_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    issues = _t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("target"), F.col("o_orderkey").alias("id"), F.when(F.col("o_orderstatus") == "F", "closed").when(F.col("o_orderstatus") == "O", "open").alias("status"))
+    found = attest.open_issues(issues.withColumn("id", F.lpad(F.col("id").cast("string"), 9, "0")))
+    return found.select("target", "open_issues", "ids")
 
 
-def item_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = _t(spark, sf_dir, "orders").select("o_orderstatus", "o_orderkey")
-    return structure.item_ids(items, F.concat(F.lit("P-"), F.col("o_orderstatus")), ["o_orderkey"], ["o_orderstatus"], 7)
+LETTER = attest.Letter("SCHOOL", "(?i)letter of access", "Office of Studies", r"REF-\d{4}/\d{3}", r"Code\s*:\s*([A-Z0-9]{5}-[A-Z0-9]{5})\s*\(\s*(REF-\d{4}/\d{2,3})\s*[·•-]\s*([A-Z]\d{2}-P?\d{2})\s*[·•-]\s*(\d{4}-\d{2}-\d{2})\s*\)", r"(?s)Student\s*:\s*(.+?)\s+—")
 
 
-def verbatim_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = _t(spark, sf_dir, "benchmark").select("item_id", F.lit(1).alias("paper"), "text")
-    target = b.withColumn("text", F.when(F.col("item_id") % 3 == 0, F.expr("substr(text, 1, length(text) - 1)")).when(F.col("item_id") % 3 == 1, F.reverse("text")).otherwise(F.col("text")))
-    return reconcile.verbatim(b, target, "paper", "item_id").select(F.col("id").alias("item_id"), "verbatim")
+def approvals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Letters to customers: in order, with an altered code, without a name, for another project, or with a malformed reference."""
+    k = F.col("c_custkey")
+    ref = F.when(k % 5 == 4, "REF-2024/07").otherwise("REF-2024/007")
+    project = F.concat(F.lit("A0"), (k % 10).cast("string"), F.lit("-P01"))
+    code = T.verification_code("SCHOOL", ref, project, F.upper("c_name"), F.lit("2024-05-01"))
+    said = F.concat(F.lit("Letter of access\nStudent : "), F.when(k % 5 == 2, "\n").otherwise(F.concat("c_name", F.lit(" —\n"))), F.lit("Code : "), F.when(k % 5 == 1, F.reverse(code)).otherwise(code), F.lit(" ("), ref, F.lit(" · "), project, F.lit(" · 2024-05-01)\nOffice of Studies"))
+    letters = _t(spark, sf_dir, "customer").select("c_custkey", said.alias("text"), F.when(k % 5 == 3, "Z99-P09").otherwise(project).alias("profile_project"))
+    return attest.verified(letters, LETTER).select("c_custkey", "letter_code", "verdict")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f"num_roundtrip_{x}": _round_trip(x) for x in ("fr", "en", "ar")} | {
     f.__name__: f
-    for f in (recon_numbers, introduced_numbers, table_difference, date_words, date_figures, blanked_tokens, cite_expand, block_sections, refs_region, glossary_counts, deck_timing, deck_lint, verification_codes, stale_hashes, gate_reasons, carry_over, item_ids, verbatim_refs)
+    for f in (
+        recon_numbers, introduced_numbers, table_difference, date_words, date_figures, blanked_tokens, page_addresses, cite_expand, block_sections, refs_region, reference_items, glossary_counts, glossary_problems,
+        ledger_items, ledger_summary, translation_values, translation_introduced, translation_tables, translation_citations, translation_verdicts, attested, deck_numbers, verbatim_refs, carry_over, carried_links, item_ids,
+        deck_timing, deck_totals, deck_lint, deck_charts, typeset_papers, verification_codes, stale_hashes, source_drift, gate_reasons, open_issues, approvals,
+    )
 }
 
-_MONEY = "SELECT l_orderkey, l_partkey, printf('%.2f', l_extendedprice) AS normalized FROM lineitem"
 _KEYED = "SELECT {c}, row_number() OVER (PARTITION BY o_custkey, o_orderstatus ORDER BY o_orderkey) AS rank, o_custkey, o_orderstatus FROM orders {w}"
-_QUANTITY = "printf('%.2f', l_quantity)"
-
-ORACLES: dict[str, str] = {f"num_roundtrip_{x}": _MONEY for x in ("fr", "en", "ar")} | {
+_QUANTITY, _PRICE = "printf('%.2f', l_quantity)", "printf('%.2f', l_extendedprice)"
+_Q, _LINE = "CAST(CAST(l_quantity AS INT) AS VARCHAR)", "CAST(l_linenumber AS VARCHAR)"
+_TRIP = f"""SELECT l_orderkey, l_partkey, {_PRICE} AS normalized, NULL::VARCHAR AS unit, NULL::VARCHAR AS role FROM lineitem
+    UNION ALL SELECT l_orderkey, l_partkey, {_Q}, NULL, 'n' FROM lineitem
+    UNION ALL SELECT l_orderkey, l_partkey, CAST(CAST(round(l_discount * 100) AS INT) AS VARCHAR), '%', NULL FROM lineitem
+    UNION ALL SELECT l_orderkey, l_partkey, {_LINE}, NULL, 'label_ref' FROM lineitem"""
+_WRONG = "CASE WHEN l_returnflag = 'R' THEN CAST(CAST(l_quantity AS INT) + 100 AS VARCHAR) ELSE CAST(CAST(l_quantity AS INT) AS VARCHAR) END"
+#: Values of an order's source paper and of its translation: text and table.
+_SIDES = f"""s AS (SELECT l_orderkey AS project, unnest([{_Q}, {_PRICE}, {_LINE}, {_Q}]) AS normalized FROM lineitem),
+    t AS (SELECT l_orderkey AS project, unnest([{_WRONG}, {_PRICE}, {_LINE}, {_WRONG}]) AS normalized FROM lineitem),
+    e AS (SELECT project, normalized, count(*) AS expected FROM s GROUP BY ALL), f AS (SELECT project, normalized, count(*) AS found FROM t GROUP BY ALL),
+    v AS (SELECT e.project, e.normalized, expected, coalesce(found, 0) AS found, CASE WHEN found IS NULL THEN 'missing' WHEN found < expected THEN 'under' ELSE 'matched' END AS status FROM e LEFT JOIN f ON e.project = f.project AND e.normalized = f.normalized)"""
+_CELLS = f"""a AS (SELECT l_orderkey AS project, unnest([{_LINE}, {_Q}]) AS v FROM lineitem), b AS (SELECT l_orderkey AS project, unnest([{_LINE}, {_WRONG}]) AS v FROM lineitem),
+    d AS (SELECT coalesce(x.project, y.project) AS project, coalesce(x.n, 0) - coalesce(y.n, 0) AS d FROM (SELECT project, v, count(*) AS n FROM a GROUP BY ALL) x FULL JOIN (SELECT project, v, count(*) AS n FROM b GROUP BY ALL) y ON x.project = y.project AND x.v = y.v),
+    g AS (SELECT project, sum(greatest(d, 0))::BIGINT AS missing, sum(greatest(-d, 0))::BIGINT AS extra FROM d GROUP BY project)"""
+_VERDICTS = f"""WITH {_SIDES}, {_CELLS}, n AS (SELECT project, count(*) AS expected_distinct, count(*) FILTER (status <> 'missing') AS matched, count(*) FILTER (status = 'missing') AS missing FROM v GROUP BY project),
+    o AS (SELECT n.*, CASE WHEN g.missing = 0 AND g.extra = 0 THEN 1 ELSE 0 END::BIGINT AS tables_ok FROM n JOIN g ON n.project = g.project)"""
+#: The blocks of a document's own lines, from number `first` on.
+_LINES = """SELECT doc_id, lang, source, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents"""
+_TIMES = """WITH s AS (SELECT DISTINCT conv_id, turn FROM conversations), a AS (SELECT *, max(turn % 5 = 4) OVER (PARTITION BY conv_id ORDER BY turn) AS in_annex FROM s),
+    o AS (SELECT *, CASE WHEN in_annex THEN 0 WHEN turn % 7 = 6 THEN 20 ELSE CASE turn % 5 WHEN 0 THEN 30 WHEN 1 THEN 50 WHEN 2 THEN 60 ELSE 50 END END::BIGINT AS own_seconds FROM a)"""
+_CODE = "(SELECT *, upper(substr(sha256('SCHOOL|' || ref || '|' || project || '|' || upper(c_name) || '|2024-05-01'), 1, 10)) AS h FROM (SELECT *, CASE WHEN c_custkey % 5 = 4 THEN 'REF-2024/07' ELSE 'REF-2024/007' END AS ref, 'A0' || (c_custkey % 10) || '-P01' AS project FROM customer))"
+
+ORACLES: dict[str, str] = {f"num_roundtrip_{x}": _TRIP for x in ("fr", "en", "ar")} | {
     "recon_numbers": f"""WITH e AS (SELECT l_orderkey, {_QUANTITY} AS normalized, count(*) AS expected FROM lineitem GROUP BY ALL),
         f AS (SELECT l_orderkey, {_QUANTITY} AS normalized, count(*) AS found FROM lineitem WHERE l_returnflag <> 'R' GROUP BY ALL)
         SELECT e.l_orderkey, e.normalized, expected, coalesce(found, 0) AS found,
@@ -172,27 +446,73 @@ ORACLES: dict[str, str] = {f"num_roundtrip_{x}": _MONEY for x in ("fr", "en", "a
         SELECT * FROM (SELECT l_orderkey, normalized, greatest(coalesce(s, 0) - coalesce(t, 0), 0) AS missing, greatest(coalesce(t, 0) - coalesce(s, 0), 0) AS extra
         FROM s FULL JOIN t USING (l_orderkey, normalized)) WHERE missing > 0 OR extra > 0""",
     "date_words": "SELECT o_orderkey, day(o_orderdate) || '-' || month(o_orderdate) || '-' || year(o_orderdate) AS normalized, 'date' AS role FROM orders",
-    "date_figures": "SELECT o_orderkey, day(o_orderdate) || '-' || month(o_orderdate) || '-' || year(o_orderdate) AS normalized, 'date' AS role FROM orders",
+    "date_figures": """SELECT o_orderkey, day(o_orderdate) || '-' || month(o_orderdate) || '-' || year(o_orderdate) AS normalized, 'date' AS role FROM orders
+        UNION ALL SELECT o_orderkey, unnest(['45', '28', '1']), NULL FROM orders""",
     "blanked_tokens": "SELECT doc_id, len(regexp_extract_all(text, '\\b[0-9a-f]{32,}\\b'))::BIGINT AS hashes, length(text)::BIGINT AS length FROM documents",
-    "cite_expand": "SELECT l_orderkey, l_partkey, '[' || k || ']' AS key, count(*) AS n FROM (SELECT l_orderkey, l_partkey, unnest(generate_series(l_linenumber, l_linenumber + l_partkey % 5 + 1)) AS k FROM lineitem) GROUP BY ALL",
-    "block_sections": """SELECT doc_id, i AS block_idx, CASE WHEN i IN (0, 3) THEN 'heading' WHEN i = 2 THEN 'table' ELSE 'paragraph' END AS kind,
-        CASE WHEN i < 3 THEN 'part ' || lang ELSE source END AS section, CASE WHEN i = 2 THEN 2 ELSE 0 END::BIGINT AS n_rows FROM documents, generate_series(0, 4) AS g(i)""",
-    "refs_region": "SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 1 ELSE 2 END::BIGINT AS entries, CASE WHEN doc_id % 2 = 0 THEN 6 ELSE 7 END::BIGINT AS blocks FROM documents",
-    "glossary_counts": """SELECT lang, sum(len(list_filter(string_split_regex(lower(text), '[^0-9a-zà-ÿ]+'), lambda x: x = CASE lang WHEN 'de' THEN 'die' WHEN 'en' THEN 'the' WHEN 'es' THEN 'la' WHEN 'fr' THEN 'les' END)))::BIGINT AS n_term,
+    "page_addresses": "SELECT page_id, unnest([CAST(page_id AS VARCHAR), CAST(length(html) AS VARCHAR)]) AS normalized FROM pages",
+    "cite_expand": """WITH l AS (SELECT *, l_linenumber AS a, l_linenumber + l_partkey % 5 + 1 AS b FROM lineitem),
+        k AS (SELECT l_orderkey, l_partkey, '[' || unnest(list_concat(generate_series(a, b), [a, b + 40])) || ']' AS key FROM l
+        UNION ALL SELECT l_orderkey, l_partkey, '(Abadi & Kovac, ' || year(l_shipdate) || ')' FROM lineitem)
+        SELECT l_orderkey, l_partkey, key, count(*) AS n FROM k GROUP BY ALL""",
+    "block_sections": f"""WITH l AS ({_LINES}), r AS (SELECT doc_id, lang, source, 0 AS o, 0 AS i, '# part ' || lang AS line FROM documents UNION ALL SELECT doc_id, lang, source, 1, i, line FROM l
+        UNION ALL SELECT doc_id, lang, source, 2, 0, '| a | b |' FROM documents UNION ALL SELECT doc_id, lang, source, 3, 0, '## ' || source FROM documents UNION ALL SELECT doc_id, lang, source, 4, 0, 'closing' FROM documents),
+        k AS (SELECT *, CASE WHEN line[1] = '#' THEN 'heading' WHEN ltrim(line)[1] = '|' THEN 'table' ELSE 'paragraph' END AS kind FROM r WHERE trim(line) <> '')
+        SELECT doc_id, row_number() OVER w - 1 AS block_idx, kind, last_value(CASE WHEN kind = 'heading' THEN trim(ltrim(line, '#')) END IGNORE NULLS) OVER w AS section,
+        CASE WHEN kind = 'paragraph' THEN length(CASE WHEN regexp_matches(line, '^\\s*([-*•]|[0-9]+[.)])\\s+') THEN trim(line) ELSE rtrim(line) END) ELSE 0 END::BIGINT AS length,
+        CASE WHEN kind <> 'table' THEN 0 WHEN o = 2 THEN 2 ELSE 1 END::BIGINT AS n_rows FROM k WINDOW w AS (PARTITION BY doc_id ORDER BY o, i)""",
+    "refs_region": f"""WITH l AS (SELECT doc_id, count(*) FILTER (trim(line) <> '') AS n FROM ({_LINES}) GROUP BY doc_id)
+        SELECT doc_id, (doc_id % 4 + 1)::BIGINT AS entries, n + 3 + doc_id % 4 + 1 + 2 AS blocks FROM l""",
+    "reference_items": """SELECT doc_id, 'E-REF-' || lpad(CAST(i AS VARCHAR), 4, '0') AS id, CAST(i AS INT) AS index, 'Abadi K, Moreau L. Essay ' || lang || '. 20' || (i + 10) || ';4:' || i || '.' AS text
+        FROM (SELECT doc_id, lang, unnest(generate_series(1, doc_id % 4 + 1)) AS i FROM documents)""",
+    "glossary_counts": """SELECT lang, sum(len(list_filter(string_split_regex(lower(text), '[^a-zà-ÿ0-9ß]+'), lambda x: x = CASE lang WHEN 'de' THEN 'die' WHEN 'en' THEN 'the' WHEN 'es' THEN 'la' WHEN 'fr' THEN 'les' END)))::BIGINT AS n_term,
         count(*) AS n_docs FROM documents GROUP BY lang""",
-    "deck_timing": """WITH s AS (SELECT DISTINCT conv_id, turn FROM conversations), a AS (SELECT *, max(turn % 5 = 4) OVER (PARTITION BY conv_id ORDER BY turn) AS in_annex FROM s),
-        o AS (SELECT *, CASE WHEN in_annex THEN 0 ELSE CASE turn % 5 WHEN 0 THEN 30 WHEN 1 THEN 50 WHEN 2 THEN 60 ELSE 50 END END::BIGINT AS own_seconds FROM a)
-        SELECT conv_id, turn, in_annex, own_seconds, (sum(own_seconds) OVER (PARTITION BY conv_id ORDER BY turn))::BIGINT AS running FROM o""",
+    "glossary_problems": """WITH o AS (SELECT l_orderkey, count(*) AS n, l_orderkey % 3 AS k FROM lineitem GROUP BY l_orderkey),
+        c AS (SELECT l_orderkey, 0::BIGINT AS entry, 2 * n AS source, CASE k WHEN 0 THEN 2 * n WHEN 1 THEN 1 ELSE 0 END AS target, CASE k WHEN 0 THEN n ELSE 0 END AS acronym, true AS keeps FROM o
+        UNION ALL SELECT l_orderkey, 1, n, CASE k WHEN 0 THEN n WHEN 1 THEN 1 ELSE 0 END, 0, false FROM o)
+        SELECT l_orderkey, entry, source, target, array_to_string(list_filter([CASE WHEN target + acronym = 0 THEN 'absent' END, CASE WHEN keeps AND acronym = 0 THEN 'acronym absent' END, CASE WHEN target + acronym < 0.5 * source THEN 'under-used' END], lambda x: x IS NOT NULL), '; ') AS problems FROM c""",
+    "ledger_items": f"""WITH l AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) AS i FROM lineitem),
+        c AS (SELECT l_orderkey, '[' || k || ']' AS key, count(*) AS n FROM (SELECT l_orderkey, unnest(generate_series(l_linenumber, l_linenumber + 2)) AS k FROM lineitem) GROUP BY ALL)
+        SELECT l_orderkey AS project, 'E-N-' || lpad(CAST(2 * i - 1 AS VARCHAR), 4, '0') AS id, 'number' AS kind, {_Q} AS value, i AS paragraph_index FROM l
+        UNION ALL SELECT l_orderkey, 'E-N-' || lpad(CAST(2 * i AS VARCHAR), 4, '0'), 'number', {_PRICE}, i FROM l
+        UNION ALL SELECT l_orderkey, 'E-T-0001', 'table', 'Tableau 1|' || string_agg({_LINE} || ',' || {_Q}, ',' ORDER BY i), 0 FROM l GROUP BY l_orderkey
+        UNION ALL SELECT DISTINCT l_orderkey, 'E-REF-0001', 'reference', '1|10.1000/lots.1', 0 FROM lineitem
+        UNION ALL SELECT l_orderkey, 'E-C-' || lpad(CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY length(key), key) AS VARCHAR), 4, '0'), 'citation', key || '|' || n, 0 FROM c""",
+    "ledger_summary": """SELECT l_orderkey AS project, 2 * count(*) AS numbers, 1::BIGINT AS tables, (SELECT count(DISTINCT k) FROM (SELECT unnest(generate_series(m.l_linenumber, m.l_linenumber + 2)) AS k FROM lineitem m WHERE m.l_orderkey = lineitem.l_orderkey)) AS citations, 1::BIGINT AS entries FROM lineitem GROUP BY l_orderkey""",
+    "translation_values": f"WITH {_SIDES} SELECT * FROM v",
+    "translation_introduced": f"WITH {_SIDES} SELECT DISTINCT t.project, t.normalized, CASE WHEN contains(t.normalized, '.') THEN format('{{:,.2f}}', CAST(t.normalized AS DOUBLE)) ELSE t.normalized END AS raw FROM t ANTI JOIN s ON t.project = s.project AND t.normalized = s.normalized",
+    "translation_tables": f"WITH {_CELLS}, n AS (SELECT l_orderkey AS project, count(*) + 1 AS n FROM lineitem GROUP BY ALL) SELECT g.project, 'E-T-0001' AS id, n AS rows_src, n AS rows_tgt, missing, extra, missing = 0 AND extra = 0 AS ok FROM g JOIN n ON g.project = n.project",
+    "translation_citations": "SELECT project, key, n AS expected, n AS found, true AS ok FROM (SELECT l_orderkey AS project, '[' || k || ']' AS key, count(*) AS n FROM (SELECT l_orderkey, unnest(generate_series(l_linenumber, l_linenumber + 2)) AS k FROM lineitem) GROUP BY ALL)",
+    "translation_verdicts": f"{_VERDICTS} SELECT project, expected_distinct, matched, missing, tables_ok, 1::BIGINT AS verbatim, missing + 1 - tables_ok AS majors, CASE WHEN missing + 1 - tables_ok = 0 THEN 'attestable' ELSE 'not attestable' END AS verdict FROM o",
+    "attested": f"{_VERDICTS} SELECT project, matched || '/' || expected_distinct AS ledger_matched, tables_ok || '/1' AS tables_ok, '1/1' AS references_verbatim, CASE WHEN missing + 1 - tables_ok = 0 THEN 'attestable' ELSE 'not attestable' END AS verdict FROM o",
+    "deck_numbers": f"""SELECT project, count(DISTINCT x) AS covered, n AS introduced, 'not lockable' AS verdict FROM (SELECT l_orderkey AS project, unnest([{_PRICE}, CASE WHEN l_quantity >= 10 THEN {_Q} END]) AS x FROM lineitem) a
+        JOIN (SELECT l_orderkey AS o, count(*) AS n FROM lineitem GROUP BY ALL) b ON a.project = b.o GROUP BY project, n""",
+    "verbatim_refs": "SELECT item_id, item_id % 4 IN (0, 2) AS verbatim FROM benchmark",
+    "carry_over": f"SELECT o.old_id, n.new_id FROM ({_KEYED.format(c='o_orderkey AS old_id', w='')}) o LEFT JOIN ({_KEYED.format(c='o_orderkey AS new_id', w='WHERE o_orderkey % 7 <> 0')}) n USING (o_custkey, o_orderstatus, rank)",
+    "carried_links": """WITH o AS (SELECT *, row_number() OVER (PARTITION BY o_custkey, o_orderkey % 2, o_orderstatus ORDER BY o_orderkey) AS r FROM orders),
+        n AS (SELECT *, row_number() OVER (PARTITION BY o_custkey, o_orderkey % 2, o_orderstatus ORDER BY o_orderkey) AS r FROM orders WHERE o_orderkey % 7 <> 0),
+        x AS (SELECT o.o_orderkey, coalesce(a.o_orderkey, b.o_orderkey) AS new FROM o LEFT JOIN n a ON a.o_custkey = o.o_custkey AND a.o_orderkey % 2 = o.o_orderkey % 2 AND a.o_orderstatus = o.o_orderstatus AND a.r = o.r
+        LEFT JOIN n b ON b.o_custkey = o.o_custkey AND b.o_orderkey % 2 = o.o_orderkey % 2 AND b.o_orderstatus = o.o_orderstatus AND b.r = 1)
+        SELECT 'CL-O-' || o_orderkey AS id, 'N-' || new AS link, CASE WHEN new IS NULL THEN 1 ELSE 0 END::BIGINT AS lost FROM x""",
+    "item_ids": "SELECT o_orderstatus, o_orderkey, 'P-' || o_orderstatus || '-' || lpad(CAST(row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) AS VARCHAR), 7, '0') AS id FROM orders",
+    "deck_timing": f"{_TIMES} SELECT conv_id, turn, in_annex, own_seconds, (sum(own_seconds) OVER (PARTITION BY conv_id ORDER BY turn))::BIGINT AS running FROM o",
+    "deck_totals": f"""{_TIMES} SELECT conv_id, sum(own_seconds)::BIGINT AS total, count(*) AS slides, count(*) FILTER (NOT in_annex) AS timed, round(sum(own_seconds)::DOUBLE / 60, 1) AS minutes, abs(sum(own_seconds) - 180) <= 18 AS within FROM o GROUP BY conv_id""",
     "deck_lint": """WITH s AS (SELECT conv_id, turn, role, string_split(text, '. ') AS b FROM conversations),
-        w AS (SELECT conv_id, turn, unnest([CASE WHEN len(b) > 6 THEN 'more than 6 bullets' END, CASE WHEN len(list_filter(b, lambda x: len(string_split_regex(trim(x, ' '), '[ \\t\\n\\r\\f\\v]+')) > 14)) > 0 THEN 'bullet over 14 words' END, 'generic title', CASE WHEN role = 'user' THEN 'no notes' END]) AS warning FROM s)
+        w AS (SELECT conv_id, turn, unnest([CASE WHEN len(b) > 6 THEN 'more than 6 bullets' END, CASE WHEN len(list_filter(b, lambda x: len(string_split_regex(trim(x, ' '), '[ \\t\\n\\r\\f\\v]+')) > 14)) > 0 THEN 'bullet over 14 words' END, CASE WHEN turn % 2 = 0 THEN 'generic title' END, CASE WHEN role = 'user' THEN 'no notes' END]) AS warning FROM s)
         SELECT conv_id, turn, warning, count(*) AS n FROM w WHERE warning IS NOT NULL GROUP BY ALL""",
+    "deck_charts": """SELECT DISTINCT c_nationkey, 'title' AS layout, 'said 1' AS notes, NULL::VARCHAR AS category, NULL::VARCHAR AS normalized FROM customer
+        UNION ALL SELECT c_nationkey, 'chart', 'said 2', CAST(c_custkey AS VARCHAR), regexp_replace(regexp_replace(printf('%.2f', c_acctbal), '0+$', ''), '\\.$', '') FROM customer""",
+    "typeset_papers": """WITH d AS (SELECT doc_id, lang, source, trim(regexp_replace(coalesce(text, ''), '[\\x00-\\x20*]+', ' ', 'g')) AS own FROM documents),
+        b AS (SELECT doc_id, unnest([{'i': 0, 'k': 'heading', 's': 'Corpus ' || lang, 'n': length('Corpus ' || lang)}, {'i': 1, 'k': 'heading', 's': source, 'n': length(source)}, {'i': 2, 'k': 'paragraph', 's': source, 'n': length(rtrim('Text: ' || own))},
+        {'i': 3, 'k': 'paragraph', 's': source, 'n': 3}, {'i': 4, 'k': 'paragraph', 's': source, 'n': 3}, {'i': 5, 'k': 'table', 's': source, 'n': 7}, {'i': 6, 'k': 'heading', 's': 'References', 'n': 10}, {'i': 7, 'k': 'paragraph', 's': 'References', 'n': 22}]) AS x FROM d)
+        SELECT doc_id, x.i::BIGINT AS block_idx, x.k AS kind, x.s AS section, x.n::BIGINT AS length, 7::BIGINT AS counted FROM b""",
     "verification_codes": """SELECT o_orderkey, substr(h, 1, 5) || '-' || substr(h, 6, 5) AS code FROM
         (SELECT o_orderkey, upper(substr(sha256('DOC|' || o_orderkey || '|' || upper(o_orderpriority) || '|' || strftime(o_orderdate, '%Y-%m-%d')), 1, 10)) AS h FROM orders)""",
     "stale_hashes": "SELECT doc_id, sha256(text) AS known, lang = 'fr' AS stale FROM documents",
-    "gate_reasons": """WITH l AS (SELECT doc_id, max(quality) AS q, max(toxic) AS t FROM labels GROUP BY doc_id)
-        SELECT doc_id, array_to_string(list_filter([CASE WHEN q <> 1 THEN 'no valid approval' END, CASE WHEN q <> 1 THEN 'not locked' END, CASE WHEN t > 0 THEN 'open issues' END, CASE WHEN doc_id % 2 > 0 THEN 'major findings' END], lambda x: x IS NOT NULL), '; ') AS reasons,
-        q = 1 AND t = 0 AND doc_id % 2 = 0 AS issued FROM documents JOIN l USING (doc_id)""",
-    "carry_over": f"SELECT o.old_id, n.new_id FROM ({_KEYED.format(c='o_orderkey AS old_id', w='')}) o LEFT JOIN ({_KEYED.format(c='o_orderkey AS new_id', w='WHERE o_orderkey % 7 <> 0')}) n USING (o_custkey, o_orderstatus, rank)",
-    "item_ids": "SELECT o_orderstatus, o_orderkey, 'P-' || o_orderstatus || '-' || lpad(CAST(row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) AS VARCHAR), 7, '0') AS id FROM orders",
-    "verbatim_refs": "SELECT item_id, item_id % 3 <> 1 AS verbatim FROM benchmark",
+    "source_drift": "SELECT doc_id, sha256(text) AS old_sha256 FROM documents WHERE lang <> 'de' AND doc_id % 5 = 0",
+    "gate_reasons": """WITH l AS (SELECT doc_id, max(quality) AS q, max(toxic) AS t FROM labels GROUP BY doc_id), r AS (SELECT doc_id, list_filter([CASE WHEN q <> 1 THEN 'no valid approval' END, CASE WHEN q = 1 AND doc_id % 3 = 0 THEN 'reference differs' END, CASE WHEN doc_id % 5 = 0 THEN 'not locked' END,
+        CASE WHEN t > 0 THEN 'open issues' END, CASE WHEN doc_id % 7 = 0 THEN 'file missing' END, CASE WHEN doc_id % 7 > 0 AND doc_id % 11 = 0 THEN 'stale hash' END, CASE WHEN doc_id % 7 > 0 AND doc_id % 2 > 0 THEN 'major findings' END, CASE WHEN doc_id % 13 = 0 THEN 'locked deck changed' END], lambda x: x IS NOT NULL) AS r FROM documents JOIN l USING (doc_id))
+        SELECT doc_id, array_to_string(r, '; ') AS reasons, len(r) = 0 AS issued FROM r""",
+    "open_issues": "SELECT o_custkey AS target, count(*) AS open_issues, string_agg(lpad(CAST(o_orderkey AS VARCHAR), 9, '0'), ', ' ORDER BY o_orderkey) AS ids FROM orders WHERE o_orderstatus <> 'F' GROUP BY o_custkey",
+    "approvals": f"""SELECT c_custkey, CASE WHEN c_custkey % 5 = 1 THEN reverse(code) ELSE code END AS letter_code, CASE c_custkey % 5 WHEN 0 THEN 'valid' WHEN 2 THEN 'unverifiable' ELSE CASE WHEN c_custkey % 5 = 1 AND reverse(code) = code THEN 'valid' ELSE 'invalid' END END AS verdict
+        FROM (SELECT *, substr(h, 1, 5) || '-' || substr(h, 6, 5) AS code FROM {_CODE})""",
 }
