@@ -19,7 +19,8 @@ def test_oracle(spark, name):
     want = con.sql(entry.oracle_sql()[name])
     assert sorted(want.columns) == cols
     place = [want.columns.index(c) for c in cols]
-    assert sorted(tuple(str(r[c]) for c in cols) for r in df.collect()) == sorted(tuple(str(r[i]) for i in place) for r in want.fetchall())
+    said = lambda x: f"{x:.9f}" if isinstance(x, float) else str(x)
+    assert sorted(tuple(said(r[c]) for c in cols) for r in df.collect()) == sorted(tuple(said(r[i]) for i in place) for r in want.fetchall())
 
 
 def test_entry(spark):
