@@ -98,7 +98,9 @@ def best_references(sources: DataFrame, targets: DataFrame, keys: list[str], id_
         return pa.table([*(given.column(k) for k in (*keys, "id")), pa.array([f[0] for f in found], pa.float64()), pa.array([f[1] for f in found], pa.string())], [*keys, "id", "similarity", "target_text"])
 
     schema = rest.select(*keys, "id").schema.simpleString()[len("struct<") : -1] + ",similarity:double,target_text:string"
-    near = rest.groupBy(*keys).cogroup(t.groupBy(*theirs)).applyInArrow(match, schema.replace(":", " "))
+    # only papers with an entry left over are looked at
+    open_ = rest.select(*(F.col(k).alias(n) for k, n in zip(keys, theirs, strict=True))).distinct()
+    near = rest.groupBy(*keys).cogroup(t.join(open_, theirs, "left_semi").groupBy(*theirs)).applyInArrow(match, schema.replace(":", " "))
     both = exact.union(near)
     return both.select(*keys, "id", F.round("similarity", 3).alias("similarity"), (F.col("similarity") >= VERBATIM).alias("verbatim"), "target_text")
 
@@ -112,12 +114,14 @@ def ranked_match(old: DataFrame, new: DataFrame, keys: list[str], old_id: str, n
 class Translation:
     """A translated paper against the ledger: it must carry every item of its paper.
 
-    ledger has project, paper and the items' columns; targets has project, paper and reading (see `ledger.reading`).
+    ledger has project, paper and the items' columns; targets has project, paper and reading (see `ledger.reading`).  Both are
+    kept by Spark, as every report reads them again, until `release`; a lost executor's part is made anew.
     """
 
     PROJECT, KEYS = ["project"], ["project", "paper"]
 
     def __init__(self, ledger: DataFrame, targets: DataFrame, ignore: Iterable[str] = ()):
+        ledger, targets = ledger.persist(), targets.persist()
         self.ledger, self.targets, self.ignore = ledger, targets, list(ignore)
         self.hits = targets.select(*self.KEYS, F.posexplode("reading.numbers").alias("pos", "h")).select(*self.KEYS, "pos", "h.*")
         self.counts = multiset(self.hits, self.KEYS, count="found")
@@ -125,6 +129,10 @@ class Translation:
         self.numbers = ledger.where(counted)
         self.table_values = ledger.where("kind = 'table'").select(*self.KEYS, F.explode("values").alias("normalized"))
 
+    def release(self) -> None:
+        self.ledger.unpersist()
+        self.targets.unpersist()
+
     def values(self) -> DataFrame:
         """keys, normalized, expected, found, status, example_id, context of every value of the text and the tables."""
         running = self.numbers.where("coalesce(role, '') NOT IN ('spelled_out', 'date')")
@@ -205,6 +213,7 @@ class Deck:
 
     def __init__(self, ledger: DataFrame, slides: DataFrame, ignore: Iterable[str] = ()):
         own = ["project"]
+        self.ledger = ledger = ledger.persist()  # read three times
         known = ledger.where("kind = 'number'").select(*own, "normalized").union(ledger.where("kind IN ('table', 'figure')").select(*own, F.explode("values"))).union(L.date_parts(ledger, own))
         self.known = known.distinct().withColumn("known", F.lit(True))
         said = slides.select("project", "deck", "slide", F.posexplode("numbers").alias("pos", "h")).select("project", "deck", "slide", "pos", "h.raw", "h.normalized", "h.context", F.coalesce("h.role", F.lit("")).alias("role"), "h.unit")
@@ -213,6 +222,9 @@ class Deck:
         shown = slides.select("project", "deck", "slide", F.posexplode("chart_values").alias("pos", "c")).select("project", "deck", "slide", (F.col("pos") + 1_000_000).alias("pos"), F.col("c.normalized").alias("raw"), "c.normalized", F.concat(F.lit("chart value: "), "c.series", F.lit(" / "), "c.category").alias("context"))
         self.checked = said.drop("role", "unit").unionByName(shown).join(self.known, ["project", "normalized"], "left").withColumn("known", F.coalesce("known", F.lit(False)))
 
+    def release(self) -> None:
+        self.ledger.unpersist()
+
     def introduced(self) -> DataFrame:
         """project, deck, slide, raw, normalized, context of each number that no paper has, repeats included."""
         return self.checked.where(~F.col("known")).select("project", "deck", "slide", "raw", "normalized", F.substring(F.trim("context"), 1, 120).alias("context"))

@@ -35,6 +35,13 @@ in_references = N.over(lambda b: D.in_references(made(b)), "array<boolean>", pa.
 dump = N.over(lambda b: D.dump(made(b)), "string", pa.string())
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df over as many partitions as there are cores, if it has fewer: reading a document costs far more than moving it, and a
+    small file, or a shuffle that was coalesced by its bytes, would keep one core busy.  A large table stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def plain_text(b: Column) -> Column:
     """Texts of all blocks, a line each."""
     return F.array_join(F.transform(b, lambda x: x["text"]), "\n")

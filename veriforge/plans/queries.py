@@ -24,6 +24,11 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _read(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """A table whose texts are about to be read."""
+    return structure.spread(_t(spark, sf_dir, name).select(*columns))
+
+
 def _written(x: Column, locale: str) -> Column:
     en = F.format_number(x, 2)
     if locale == "fr":
@@ -42,7 +47,7 @@ def _whole(x: Column) -> Column:
 
 def _round_trip(locale: str) -> Callable[[SparkSession, str], DataFrame]:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        lines = _t(spark, sf_dir, "lineitem")
+        lines = _read(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount")
         said = F.concat(F.lit("total : "), _written(F.col("l_extendedprice"), locale), F.lit(" (n = "), _whole(F.col("l_quantity")), F.lit("), "), _whole(F.round(F.col("l_discount") * 100)), F.lit(" % ; table "), F.col("l_linenumber").cast("string"))
         hits = lines.select("l_orderkey", "l_partkey", F.explode(N.numbers(said, locale)).alias("h"))
         return hits.select("l_orderkey", "l_partkey", "h.normalized", "h.unit", "h.role")
@@ -50,9 +55,16 @@ def _round_trip(locale: str) -> Callable[[SparkSession, str], DataFrame]:
     return query
 
 
+def _by_order(lines: DataFrame):
+    """Lines by order, over a fixed number of partitions: what follows is costly for its bytes."""
+    spark = lines.sparkSession
+    n = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return lines.repartition(n, "l_orderkey").groupBy("l_orderkey")
+
+
 def _sentence(df: DataFrame, value: Column) -> DataFrame:
     """An order's values in one French sentence."""
-    return df.groupBy("l_orderkey").agg(F.array_join(F.array_sort(F.collect_list(_written(value, "fr"))), " ; ").alias("t"))
+    return _by_order(df).agg(F.array_join(F.array_sort(F.collect_list(_written(value, "fr"))), " ; ").alias("t"))
 
 
 def _hits(df: DataFrame, locale: str = "fr") -> DataFrame:
@@ -86,14 +98,14 @@ def date_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     day, year = F.dayofmonth(d).cast("string"), F.year(d).cast("string")
     said = F.when(turn == 0, F.concat(F.lit("le "), day, F.lit(" "), name(0), F.lit(" "), year, F.lit(", lot"))).when(turn == 1, F.concat(F.lit("on "), english, F.lit(" "), day, F.lit(", "), year, F.lit(" it came"))).otherwise(F.concat(F.lit("في "), day, F.lit(" "), arabic, F.lit(" "), year))
     locale = F.when(turn == 0, "fr").when(turn == 1, "en").otherwise("ar")
-    hits = _t(spark, sf_dir, "orders").select("o_orderkey", F.explode(N.numbers(said, locale)).alias("h"))
+    hits = _read(spark, sf_dir, "orders", "o_orderkey", "o_orderdate").select("o_orderkey", F.explode(N.numbers(said, locale)).alias("h"))
     return hits.select("o_orderkey", "h.normalized", "h.role")
 
 
 def date_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dates in figures; a catalogue number of the same shape is no date, and its parts are numbers."""
     said = F.expr("CASE o_orderkey % 3 WHEN 0 THEN date_format(o_orderdate, 'dd/MM/yyyy') WHEN 1 THEN date_format(o_orderdate, 'yyyy-MM-dd') ELSE date_format(o_orderdate, 'd-M-yyyy') END")
-    orders = _t(spark, sf_dir, "orders").select("o_orderkey", F.explode(N.numbers(F.concat(F.lit("on "), said, F.lit(" done, item 45-28-0001, part 3.4.2011")), "en")).alias("h"))
+    orders = _read(spark, sf_dir, "orders", "o_orderkey", "o_orderdate").select("o_orderkey", F.explode(N.numbers(F.concat(F.lit("on "), said, F.lit(" done, item 45-28-0001, part 3.4.2011")), "en")).alias("h"))
     return orders.select("o_orderkey", "h.normalized", "h.role")
 
 
@@ -105,7 +117,7 @@ def blanked_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def page_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Addresses, DOIs, digests and section numbers hold no figures; what stands beside them does."""
-    pages = _t(spark, sf_dir, "pages")
+    pages = _read(spark, sf_dir, "pages", "page_id", "url", "html")
     said = F.concat(F.lit("see "), "url", F.lit(" , doi: 10.1000/"), F.col("page_id").cast("string"), F.lit(" or section 2.3."), (F.col("page_id") % 9).cast("string"), F.lit(" ; page "), F.col("page_id").cast("string"), F.lit(" of "), F.length("html").cast("string"))
     return pages.select("page_id", F.explode(N.numbers(said, "en")).alias("h")).select("page_id", "h.normalized")
 
@@ -116,7 +128,8 @@ def cite_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = a + F.col("l_partkey") % 5 + 1
     text = lambda x: x.cast("string")
     said = F.concat(F.lit("as reported ["), text(a), F.lit("–"), text(b), F.lit("], also ["), text(a), F.lit(","), text(b + 40), F.lit("]; median "), _whole(F.col("l_quantity")), F.lit(" ["), text(a), F.lit("–"), text(b), F.lit("], low [0,"), text(a), F.lit("–"), text(b), F.lit(",5] (Abadi and Kovac, "), text(F.year("l_shipdate")), F.lit(")"))
-    return _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", F.explode(N.citations(said)).alias("key")).groupBy("l_orderkey", "l_partkey", "key").agg(F.count("*").alias("n"))
+    lines = _read(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_shipdate")
+    return lines.select("l_orderkey", "l_partkey", F.explode(N.citations(said)).alias("key")).groupBy("l_orderkey", "l_partkey", "key").agg(F.count("*").alias("n"))
 
 
 # -- structure
@@ -128,7 +141,7 @@ def _own_lines(text: str = "text") -> Column:
 
 
 def block_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _t(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("# part "), "lang", F.lit("\n\n"), _own_lines(), F.lit("\n\n| a | b |\n|---|---|\n| 1 | 2 |\n\n## "), "source", F.lit("\nclosing")).alias("text"))
+    docs = _read(spark, sf_dir, "documents", "doc_id", "lang", "source", "text").select("doc_id", F.concat(F.lit("# part "), "lang", F.lit("\n\n"), _own_lines(), F.lit("\n\n| a | b |\n|---|---|\n| 1 | 2 |\n\n## "), "source", F.lit("\nclosing")).alias("text"))
     found = structure.markdown_blocks(docs)
     return found.select("doc_id", F.col("block_idx").cast("long").alias("block_idx"), "kind", "section", F.when(F.col("kind") == "paragraph", F.length("text")).otherwise(0).cast("long").alias("length"), F.coalesce(F.size("cells"), F.lit(0)).cast("long").alias("n_rows"))
 
@@ -141,14 +154,15 @@ def _with_list(docs: DataFrame) -> Column:
 
 
 def refs_region(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _t(spark, sf_dir, "documents")
+    docs = _read(spark, sf_dir, "documents", "doc_id", "lang", "text")
     found = structure.with_references(structure.markdown_blocks(docs.select("doc_id", _with_list(docs).alias("text"))))
     return found.groupBy("doc_id").agg(F.sum(F.col("in_refs").cast("long")).alias("entries"), F.count("*").alias("blocks"))
 
 
 def reference_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Entries wrapped over two paragraphs are one; the index is the typed one."""
-    docs = _t(spark, sf_dir, "documents").select("doc_id", structure.blocks(F.regexp_replace(_with_list(_t(spark, sf_dir, "documents")), r"\. 20(\d+);", ".\n\n20$1;")).alias("blocks"))
+    docs = _read(spark, sf_dir, "documents", "doc_id", "lang", "text")
+    docs = docs.select("doc_id", structure.blocks(F.regexp_replace(_with_list(docs), r"\. 20(\d+);", ".\n\n20$1;")).alias("blocks"))
     items = L.extracted(docs, ["doc_id"], F.col("blocks"), F.lit("en"), F.lit("E")).where("kind = 'reference'")
     return items.select("doc_id", "id", "index", "text")
 
@@ -157,7 +171,7 @@ GLOSSARY = {"de": "die", "en": "the", "es": "la", "fr": "les"}
 
 
 def glossary_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _t(spark, sf_dir, "documents").select("lang", N.term_counts(F.col("text"), list(GLOSSARY.values())).alias("c"))
+    docs = _read(spark, sf_dir, "documents", "lang", "text").select("lang", N.term_counts(F.col("text"), list(GLOSSARY.values())).alias("c"))
     own = F.get(F.col("c"), F.array_position(F.array(*(F.lit(k) for k in GLOSSARY)), F.col("lang")).cast("int") - 1)
     return docs.groupBy("lang").agg(F.sum(F.coalesce(own, F.lit(0)).cast("long")).alias("n_term"), F.count("*").alias("n_docs"))
 
@@ -172,7 +186,7 @@ ENTRIES = [
 def glossary_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Terms of an order's source text and what its translation makes of them: kept, partly kept or lost, by turns."""
     n = F.col("n")
-    orders = _t(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count("*").cast("int").alias("n"))
+    orders = _by_order(_t(spark, sf_dir, "lineitem")).agg(F.count("*").cast("int").alias("n"))
     source = F.concat(F.repeat(F.lit("Le lot livré (LL) compte dix pièces. "), n), F.lit("Sans retardement."))
     target = F.when(F.col("l_orderkey") % 3 == 0, F.repeat(F.lit("The delivered batch (LL) has ten pieces. "), n)).when(F.col("l_orderkey") % 3 == 1, F.lit("A batch of pieces.")).otherwise("Nothing of it.")
     texts = orders.select("l_orderkey", F.lit("fr").alias("lang"), source.alias("body")).union(orders.select("l_orderkey", F.lit("en"), target))
@@ -191,7 +205,7 @@ _PAPER = {
 def _papers(spark: SparkSession, sf_dir: str, locale: str, quantity: Column) -> DataFrame:
     """project (an order), paper, locale, prefix, blocks: a paper on the order's lines with a table, a caption and a reference."""
     heading, sentence, header, caption, references = _PAPER[locale]
-    lines = _t(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", _whole(quantity).alias("q")))).alias("lines"))
+    lines = _by_order(_t(spark, sf_dir, "lineitem")).agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", _whole(quantity).alias("q")))).alias("lines"))
 
     def said(x: Column) -> Column:
         parts = {"{q}": x["q"], "{p}": _written(x["l_extendedprice"], locale), "{a}": x["l_linenumber"].cast("string"), "{b}": (x["l_linenumber"] + 2).cast("string")}
@@ -256,7 +270,7 @@ def attested(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def deck_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A slide a line, with a quantity, a price on the slide and in a chart, and a code that no paper has."""
-    lines = _t(spark, sf_dir, "lineitem")
+    lines = _read(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice")
     said = F.concat(F.lit("Livré : "), _whole(F.col("l_quantity")), F.lit(" pièces, "), _written(F.col("l_extendedprice"), "fr"), F.lit(" euros, code "), (F.col("l_partkey") + 100_000).cast("string"))
     chart = F.array(F.struct(F.lit("prix").alias("series"), F.col("l_linenumber").cast("string").alias("category"), F.translate(F.format_number("l_extendedprice", 2), ",", "").alias("normalized")))
     slides = lines.select(F.col("l_orderkey").alias("project"), F.lit("d").alias("deck"), F.col("l_linenumber").alias("slide"), N.numbers(said, "fr").alias("numbers"), chart.alias("chart_values"))
@@ -343,7 +357,7 @@ def typeset_papers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents typeset as word-processor files and read back, block by block."""
     own = F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x00-\x20*]+", " "))
     md = F.concat(F.lit("---\ntitle: Corpus "), "lang", F.lit("\n---\n## "), "source", F.lit("\n\nText: "), own, F.lit("\n\n- one\n- two\n\n| a | b |\n|---|---|\n| 1 | 2 |\n\n## References\n\n1. Abadi K. Essays. 2011.\n"))
-    made = _t(spark, sf_dir, "documents").select("doc_id", sinks.typeset(md, "en").alias("f"))
+    made = _read(spark, sf_dir, "documents", "doc_id", "lang", "source", "text").select("doc_id", sinks.typeset(md, "en").alias("f"))
     blocks = sources._blocks(F.lit("paper.docx"), F.col("f.content"))
     read = made.select("doc_id", F.col("f.counts").alias("n"), F.posexplode(blocks).alias("block_idx", "b"))
     return read.select("doc_id", F.col("block_idx").cast("long").alias("block_idx"), F.col("b.kind").alias("kind"), F.col("b.section").alias("section"), F.length("b.text").cast("long").alias("length"), (F.col("n.paragraphs") + F.col("n.lists") + F.col("n.references") + F.col("n.tables") + F.col("n.headings")).cast("long").alias("counted"))
@@ -396,7 +410,7 @@ def approvals(spark: SparkSession, sf_dir: str) -> DataFrame:
     project = F.concat(F.lit("A0"), (k % 10).cast("string"), F.lit("-P01"))
     code = T.verification_code("SCHOOL", ref, project, F.upper("c_name"), F.lit("2024-05-01"))
     said = F.concat(F.lit("Letter of access\nStudent : "), F.when(k % 5 == 2, "\n").otherwise(F.concat("c_name", F.lit(" —\n"))), F.lit("Code : "), F.when(k % 5 == 1, F.reverse(code)).otherwise(code), F.lit(" ("), ref, F.lit(" · "), project, F.lit(" · 2024-05-01)\nOffice of Studies"))
-    letters = _t(spark, sf_dir, "customer").select("c_custkey", said.alias("text"), F.when(k % 5 == 3, "Z99-P09").otherwise(project).alias("profile_project"))
+    letters = _read(spark, sf_dir, "customer", "c_custkey", "c_name").select("c_custkey", said.alias("text"), F.when(k % 5 == 3, "Z99-P09").otherwise(project).alias("profile_project"))
     return attest.verified(letters, LETTER).select("c_custkey", "letter_code", "verdict")
 
 
