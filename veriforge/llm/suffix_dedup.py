@@ -43,7 +43,7 @@ GRAM = 25
 _SPAN = DEPTH - GRAM + 1
 _LONGEST = DEPTH + _SPAN - 1
 #: Bytes of text that are hashed together, and whose runs are merged together.
-PIECE, GROUP = 1 << 21, 1 << 24
+PIECE, GROUP = 1 << 20, 1 << 23
 #: Bytes of text for each bucket of anchors and of documents, and the most buckets that a block is dealt to at once.
 BUCKET, FAN = 1 << 23, 8192
 #: Bytes of the sample for hot anchors, and how many different stretches make one there.
@@ -276,7 +276,8 @@ def _find(batches: Iterable[pa.RecordBatch], plan: Plan) -> Iterator[pa.RecordBa
         if held:
             hash_piece()
         rows, place = (np.concatenate([f[i] for f in found]) for i in (0, 1))
-        data = np.frombuffer(b"".join(texts) + bytes(_LONGEST), np.uint8)
+        data = np.frombuffer(b"".join([*texts, bytes(_LONGEST)]), np.uint8)
+        found, texts, total = [], [], 0  # each part of the memory goes as soon as it can
         again = _met_again(rows["stretch"])
         again = again[np.lexsort((rows["doc"][again], rows["stretch"][again]))]
         group = _group_of(_first_of(rows["stretch"][again]), len(again))
@@ -286,16 +287,16 @@ def _find(batches: Iterable[pa.RecordBatch], plan: Plan) -> Iterator[pa.RecordBa
         sure = _same_bytes(data, place[again], place[least], rows["n"][again].astype(np.int64) + DEPTH - 1)
         known = np.zeros(len(rows), bool)
         known[again[sure]] = True
-        sent = rows[~known]
+        sent = rows if not known.any() else rows[~known]
         bucket = anchor_bucket(sent["anchor"], plan.anchors)
         if plan.anchor_step == 1:
             sent["anchor"] &= _SENT  # the bucket stands for the rest
+        more = records(RUN, int(known.sum()), **{c: rows[c][known] for c in RUN.names})
+        del rows, place, data
         out = list(_dealt(bucket, sent, plan.anchor_step))
-        if known.any():
+        if len(more):
             turn += 1
-            more = records(RUN, int(known.sum()), **{c: rows[c][known] for c in RUN.names})
             out += _dealt(np.full(len(more), (int(more["doc"][0]) + turn) % plan.anchors), more, plan.anchor_step)
-        found, texts, total = [], [], 0
         return _rows_of(out)
 
     for b in batches:
