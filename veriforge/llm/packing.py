@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -18,35 +19,44 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import materialize
-from .tokenizing import worker_encoder, slices
+from .tokenizing import CACHE_ENTRIES, slices, worker_encoder
 
 WINDOW = 2048
 
 
-def tokenised(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
+class Room(NamedTuple):
+    """What a worker holds at once: segments in either generation of its cache, bytes of text, rows of a batch.  Less room costs
+    CPU time and changes no result."""
+
+    entries: int = CACHE_ENTRIES
+    text: int = 1 << 23
+    rows: int | None = None
+
+
+def tokenised(docs: DataFrame, vocabulary: str, end_id: int, room: Room) -> DataFrame:
     """doc_id, part, before (ids before the document in its partition), n_tokens, ids (little-endian 16 bits), written once."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok, end, part, before = worker_encoder(vocabulary, spaced=False), np.array([end_id], "<u2").tobytes(), TaskContext.get().partitionId(), 0
+        tok, end, part, before = worker_encoder(vocabulary, spaced=False, entries=room.entries), np.array([end_id], "<u2").tobytes(), TaskContext.get().partitionId(), 0
         for b in batches:
             keys, texts = b.column(0), b.column(1)
-            for lo, hi in slices(texts):
+            for lo, hi in slices(texts, room.text):
                 ids = [x + end for x in tok.batch(texts.slice(lo, hi - lo))]
                 n = np.array([len(x) // 2 for x in ids], np.int64)
                 starts = before + np.cumsum(n) - n
                 before += int(n.sum())
                 yield pa.RecordBatch.from_arrays([keys.slice(lo, hi - lo), pa.array([part] * len(n), pa.int32()), pa.array(starts), pa.array(n), pa.array(ids, pa.binary())], ["doc_id", "part", "before", "n_tokens", "ids"])
 
-    return materialize(docs.select("doc_id", "text").mapInArrow(run, "doc_id long, part int, before long, n_tokens long, ids binary"), "packing-ids")
+    return materialize(docs.select("doc_id", "text").mapInArrow(run, "doc_id long, part int, before long, n_tokens long, ids binary"), "packing-ids", room.rows)
 
 
-def pack(docs: DataFrame, vocabulary: str, end_id: int = 1, window: int = WINDOW) -> DataFrame:
+def pack(docs: DataFrame, vocabulary: str, end_id: int = 1, window: int = WINDOW, room: Room = Room()) -> DataFrame:
     """Pieces of all documents: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     Null and empty texts are the end id alone; equal rows are packed one by one; null doc_ids stay null; an empty table gives no
     row; further columns are not read.  The driver adds up one total for each partition of the input.
     """
-    ids = tokenised(docs, vocabulary, end_id)
+    ids = tokenised(docs, vocabulary, end_id, room)
     base, total = {}, 0
     for r in sorted(ids.groupBy("part").agg(F.sum("n_tokens").alias("n")).collect()):
         base[r["part"]] = total

@@ -42,15 +42,25 @@ def _path(spark: SparkSession, path: str):
     return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def materialize(df: DataFrame, tag: str) -> DataFrame:
+_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def materialize(df: DataFrame, tag: str, rows_per_batch: int | None = None) -> DataFrame:
     """Write df once to the shared folder and read it back.
 
     Lineage is cut, the columns stay prunable, and a lost executor costs only its unfinished write tasks: what has been
-    committed is read from shared storage.  The files go when the session ends, or with `discard`.
+    committed is read from shared storage.  The files go when the session ends, or with `discard`.  rows_per_batch: how many rows
+    Python workers get at once meanwhile, if fewer than the session's setting.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    usual = spark.conf.get(_ROWS)
+    try:
+        if rows_per_batch and not 0 < int(usual) <= rows_per_batch:
+            spark.conf.set(_ROWS, rows_per_batch)
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_ROWS, usual)
     at, files = _path(spark, path)
     files.deleteOnExit(at)
     back = spark.read.schema(df.schema).parquet(path)

@@ -164,7 +164,7 @@ class CachedEncoder:
         return [(self.first[h] if h else b"") + b"".join(map(get, x)) for h, x in zip(heads, split, strict=True)]
 
 
-def library_encoder(vocabulary: str, spaced: bool) -> CachedEncoder:
+def library_encoder(vocabulary: str, spaced: bool, entries: int = CACHE_ENTRIES) -> CachedEncoder:
     """The tokenizers library on the JSON file vocabulary, without special tokens, as unsigned 16-bit ids.
 
     Many segments go through the library as one text, which costs half of one call each.  Their borders show in the ids: of
@@ -214,14 +214,14 @@ def library_encoder(vocabulary: str, spaced: bool) -> CachedEncoder:
             for s, k in zip(some, kinds, strict=True):
                 yield next(own[k]) if k else ids(s).tobytes()
 
-    return CachedEncoder(encode, spaced, width=2)
+    return CachedEncoder(encode, spaced, width=2, entries=entries)
 
 
-def worker_encoder(vocabulary: str, spaced: bool) -> CachedEncoder:
+def worker_encoder(vocabulary: str, spaced: bool, entries: int = CACHE_ENTRIES) -> CachedEncoder:
     """The encoder that this worker keeps from task to task, until another operator or vocabulary takes its place."""
-    if (key := (vocabulary, spaced)) not in KEPT:
+    if (key := (vocabulary, spaced, entries)) not in KEPT:
         KEPT.clear()
-        KEPT[key] = library_encoder(vocabulary, spaced)
+        KEPT[key] = library_encoder(vocabulary, spaced, entries)
     return KEPT[key]
 
 
