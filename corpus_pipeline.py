@@ -35,8 +35,8 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of sequences of 2048 tokens."""
-    return packing.pack(docs, _tokenizer("word_bpe_49k.json"), end_id=1)
+    """Pieces of sequences of 2048 tokens.  The executors have four stages behind them, so a worker holds less than it might."""
+    return packing.pack(docs, _tokenizer("word_bpe_49k.json"), end_id=1, room=packing.Room(entries=150_000, text=1 << 20, rows=1000))
 
 
 STAGES = [
