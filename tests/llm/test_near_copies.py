@@ -2,6 +2,7 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 
 from veriforge.llm import near_copies
@@ -45,3 +46,15 @@ def test_near_copies_go(spark):
     got = corpus_pipeline.one_of_each(spark, docs, "")
     assert got.columns == docs.columns and sorted(x.doc_id for x in got.collect()) == want
     assert near_copies.dedup(docs.limit(0)).count() == 0
+
+
+def test_few_pairs_of_a_large_group_are_made_and_no_link_is_lost(spark):
+    r = random.Random(5)
+    base = [f"w{r.randrange(10**6)}" for _ in range(300)]
+    texts = [" ".join(base[:k] + [f"x{i}"] + base[k + 1 :]) for i in range(150) for k in [r.randrange(300)]]
+    texts += [" ".join(f"y{r.randrange(10**6)}" for _ in range(100)) for _ in range(10)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    rows = [pa.RecordBatch.from_pydict({"key": [7] * 150, "n": [296] * 150, "node": list(range(150))})]
+    assert sum(b.num_rows for b in near_copies._pairs(rows, near_copies.WINDOW)) <= 4 * 150
+    found = [sorted(tuple(x) for x in near_copies.clusters(docs, w).collect()) for w in (near_copies.WINDOW, 16)]
+    assert found[0] == found[1] == [(i, 0 if i < 150 else i) for i in range(160)]

@@ -29,7 +29,7 @@ SHINGLE = 5
 #: Similarity from which two texts are near copies, as a fraction.
 LIKE = (4, 5)
 BANDS, ROWS = 20, 5
-WINDOW = 16
+WINDOW = 4
 #: Bits of a set's bitmap.
 BITMAP = 2048
 _PART = 1 << 12
