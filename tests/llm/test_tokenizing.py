@@ -1,5 +1,7 @@
 """Cached ids against the library's on whole texts."""
 
+import cProfile
+import pstats
 import random
 
 import numpy as np
@@ -35,6 +37,28 @@ def test_ids_are_the_librarys(name, spaced):
         assert np.frombuffer(got, "<u2").tolist() == t.encode(text or "", add_special_tokens=False).ids, repr(text)
 
 
+@pytest.mark.parametrize(("name", "spaced"), [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_no_python_for_each_segment(name, spaced):
+    r = random.Random(2)
+    texts = [" ".join("".join(r.choices("aeioustnrh", k=8)) + r.choice(["", "", ",", "."]) for _ in range(200)) for _ in range(100)]
+    t = Tokenizer.from_file(public_tokenizers.path(name))
+    enc, calls = library_encoder(public_tokenizers.path(name), spaced), cProfile.Profile()
+    found = calls.runcall(enc.batch, pa.array(texts))
+    assert [np.frombuffer(b, "<u2").tolist() for b in found] == [t.encode(x, add_special_tokens=False).ids for x in texts]
+    assert pstats.Stats(calls).total_calls < 5_000  # of 20,000 segments
+
+
+@pytest.mark.parametrize("spaced", [True, False])
+def test_cache_is_bounded(spaced):
+    enc = library_encoder(public_tokenizers.path("byte_bpe_50k.json" if spaced else "word_bpe_49k.json"), spaced, entries=200)
+    for i in range(12):
+        texts = [" ".join(f"w{chr(97 + i)}{chr(97 + j)}{chr(97 + k)}" for k in range(20)) + " often" for j in range(10)]
+        enc.batch(pa.array([*texts, " ", None, "long" * 20_000 + chr(97 + i)]))
+        assert len(enc.keys) <= 700 and enc.keys.nbytes < 250_000
+    assert " often" in enc.keys.to_pylist() or "often" in enc.keys.to_pylist()
+    assert enc.batch(pa.array([], pa.string())) == [] and enc.batch(pa.array(["", None, " " * (not spaced)])) == [b""] * 3
+
+
 def test_slices_cover_all_rows_once():
     texts = pa.array(["aaaa", None, "", "bb" * 50, "c", None])
     assert [i for lo, hi in slices(texts, 5) for i in range(lo, hi)] == list(range(6))

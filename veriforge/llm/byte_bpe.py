@@ -157,17 +157,19 @@ class Codec:
         whole = self.vocabulary.ranks.get(data)
         return [whole] if whole is not None else PrefixTable(self.vocabulary, data).ids()
 
-    def _segments(self, segments: list[str]) -> Iterator[bytes]:
-        known = self.pieces
+    def _segments(self, segments: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        known, found, size = self.pieces, [], []
         if len(known) > PIECE_ENTRIES:
             known.clear()
-        for s in segments:
+        for s in segments.to_pylist():
             out = b""
             for p in self.find(s):
                 if (ids := known.get(p)) is None:
                     ids = known[p] = np.array(self.piece(p), "<u4").tobytes()
                 out += ids
-            yield out
+            found.append(out)
+            size.append(len(out) // 4)
+        return np.frombuffer(b"".join(found), "<u4"), np.array(size, np.int64)
 
     def encode(self, texts: list[str | None] | pa.Array) -> list[list[int]]:
         return [np.frombuffer(b, "<u4").tolist() for b in self.cached.batch(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()))]

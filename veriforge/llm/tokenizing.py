@@ -8,17 +8,16 @@ A word-level cache needs cut points at which the tokenizer itself always cuts:
 * word BPE with white space dropped: no piece holds white space, and neither NFC nor lower-casing looks across it.
 * both: a run of letters ends a piece where an ASCII character other than a letter follows (NFC composes nothing there).
 
-Texts are cut and their segments numbered by Arrow, so Python meets each segment once a slice.  Ids of a segment always come
-from the library itself; only what the cache lacks is encoded, a slice at a time.  The cache is bounded, so memory does not
-grow with the input.
+Texts are cut, segments numbered, split into letters and what follows, and looked up by Arrow; ids lie in one array, from which
+NumPy puts those of whole texts together, so no Python object is made for a segment.  Ids always come from the library itself;
+only what the cache lacks is encoded, a slice at a time.  The cache is bounded, so memory does not grow with the input.
 """
 
 from __future__ import annotations
 
 import os
 import re
-from collections.abc import Callable, Iterable, Iterator
-from itertools import filterfalse
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,16 +25,21 @@ import pyarrow.compute as pc
 
 from .shared import KEPT
 
-#: Bound of each generation of a worker's cache; an entry takes about 200 bytes.
+#: How many pieces a worker's cache holds that were met since it was last cleared out; up to twice as many in all, of about 40 bytes each.
 CACHE_ENTRIES = 450_000
 
+#: Longer pieces (in bytes) are forgotten when the cache is cleared out, which is also done at twice as many bytes for each entry.
+CACHE_BYTES = 64
+
 #: White space other than a space or a line feed, of Unicode or of Python's str methods.
 RARE_SPACE = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0" + "".join(map(chr, (0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 _ASCII_RARE = RARE_SPACE[:8]
+#: Stands between segments while Arrow cuts a text that holds no rare space.
+_CUT = "\x1c"
 _BEFORE_WORD = re.compile(r" (?=\S)")
 _SPACES = re.compile(f"[\n {RARE_SPACE.translate(dict.fromkeys(range(0x1C, 0x20)))}]+")
 #: A line feed or none, letters of ASCII and Latin-1, and what follows from an ASCII character other than a letter on.
-_PARTS = re.compile(r"(\n?)([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)((?:[\x21-\x40\x5b-\x60\x7b-\x7e].*)?)", re.DOTALL).fullmatch
+_PARTS = r"(?s)\A(?P<feed>\n?)(?P<head> ?[A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{ff}]+)(?P<tail>(?:[\x21-\x40\x5b-\x60\x7b-\x7e].*)?)\z"
 
 
 def space_segments(text: str) -> list[str]:
@@ -52,68 +56,66 @@ def words(text: str) -> list[str]:
     return text.split()
 
 
+def gathered(ids: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The stretches of ids that begin there and are of that size, one after another."""
+    at = np.repeat(begin - (np.cumsum(size) - size), size)
+    at += np.arange(len(at))
+    return ids[at]
+
+
 class CachedEncoder:
     """Little-endian ids of whole texts as bytes, width bytes an id.  spaced: byte-level BPE, where segments are cut before
-    spaces and line feeds and each but the first begins with one; else word BPE.
+    spaces and line feeds and begin with them; else word BPE.  encode gives the ids of all texts of an array, one text after
+    another, and how many each has.
 
-    The cache has two generations of at most `entries` segments.  A full one becomes the old one, from which what is met
-    again moves on, so frequent segments stay.
+    Once over `entries` pieces were met since the cache was last cleared out, all others go, so frequent pieces stay.
     """
 
-    def __init__(self, encode: Callable[[list[str]], Iterable[bytes]], spaced: bool, width: int, entries: int = CACHE_ENTRIES):
+    def __init__(self, encode: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]], spaced: bool, width: int, entries: int = CACHE_ENTRIES):
         self.encode, self.spaced, self.width, self.entries = encode, spaced, width, entries
-        self.first: dict[str, bytes] = {}  # segments without a space before them
-        self.rest: dict[str, bytes] = {"": b""}
-        self.old: dict[str, bytes] = {}
+        self.keys, self.ids = pa.array([], pa.string()), np.zeros(0, f"<u{width}")
+        self.begin, self.size, self.met = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
         border = "  | \n|\n |\n\n|[ \n]\\z|" if spaced else ""
         self.uneven = f"{border}[{RARE_SPACE}]"
 
-    def _put(self, cache: dict[str, bytes], wanted: set[str], lead: str) -> None:
-        if new := list(wanted.difference(cache)):
-            cache.update(zip(new, self.encode([lead + w for w in new]), strict=True))
-
-    def _fill(self, wanted: Iterable[str]) -> None:
-        """Ids of segments to self.rest: of their letters and of what follows these apart, as there are far fewer of each."""
-        rest, old = self.rest, self.old
-        missing = list(filterfalse(rest.__contains__, wanted))
-        if again := [w for w in missing if w in old]:
-            rest.update(zip(again, map(old.__getitem__, again), strict=True))
-            missing = [w for w in missing if w not in old]
-        if not missing:
+    def _clear_out(self) -> None:
+        heavy = self.keys.nbytes + self.ids.nbytes > 2 * CACHE_BYTES * self.entries
+        if not heavy and np.count_nonzero(self.met) <= self.entries:
             return
-        bare = self.first if self.spaced else rest
-        led, unled, split = set(), set(), []
-        for w in missing:
-            if (m := _PARTS(w)) is None:
-                (unled if w[0] == "\n" else led).add(w)
-                continue
-            feed, head, tail = m.groups()
-            if not self.spaced:
-                head = head.lower()
-            if (head if feed or tail else w) != w or not self.spaced:
-                split.append((w, feed, head, tail))
-                if tail:
-                    unled.add(tail)
-            if feed:
-                unled.update((feed, head))
-            elif head not in old or head in rest:
-                led.add(head)
-            else:
-                rest[head] = old[head]
-        self._put(rest, led, " " if self.spaced else "")
-        self._put(bare, unled, "")
-        for w, feed, head, tail in split:
-            ids = bare[feed] + bare[head] if feed else rest[head]
-            rest[w] = ids + bare[tail] if tail else ids
-        if self.spaced:
-            rest.update((w, bare[w]) for w in unled if w[0] == "\n")
+        stay = np.flatnonzero(self.met & (pc.binary_length(self.keys).to_numpy() <= CACHE_BYTES))
+        self.keys, self.ids = self.keys.take(pa.array(stay)), gathered(self.ids, self.begin[stay], self.size[stay])
+        self.size = self.size[stay]
+        self.begin, self.met = np.cumsum(self.size) - self.size, np.zeros(len(stay), bool)
+
+    def _places(self, pieces: pa.Array) -> np.ndarray:
+        """Where each piece, all of them distinct, lies in the cache; what it lacks is encoded first."""
+        at = pc.fill_null(pc.index_in(pieces, value_set=self.keys), -1).to_numpy().astype(np.int64)
+        lacking = at < 0
+        if lacking.any():
+            new = pieces.filter(pa.array(lacking))
+            ids, size = self.encode(new)
+            at[lacking] = len(self.keys) + np.arange(len(new))
+            self.keys = pa.concat_arrays([self.keys, new])
+            self.begin = np.concatenate([self.begin, len(self.ids) + np.cumsum(size) - size])
+            self.size, self.ids = np.concatenate([self.size, size]), np.concatenate([self.ids, ids])
+            self.met = np.concatenate([self.met, np.zeros(len(new), bool)])
+        self.met[at] = True
+        return at
+
+    def _segments(self, segments: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all segments, one after another, and how many each has: those of a line feed, of the letters after it and of what
+        follows these apart, as there are far fewer of each."""
+        feed, head, tail = pc.extract_regex(segments, _PARTS).flatten()
+        if not self.spaced:
+            head = pc.utf8_lower(head)
+        pieces = pa.concat_arrays([pc.fill_null(feed, ""), pc.coalesce(head, segments), pc.fill_null(tail, "")]).dictionary_encode()
+        at = self._places(pieces.dictionary)[pieces.indices.to_numpy().reshape(3, -1).T]
+        size = self.size[at]
+        return gathered(self.ids, self.begin[at].ravel(), size.ravel()), size.sum(1)
 
     def batch(self, texts: pa.Array) -> list[bytes]:
         """Ids of each text (null: empty)."""
-        if len(self.rest) > self.entries:
-            self.old, self.rest = self.rest, {"": b""}
-        if len(self.first) > self.entries // 5:
-            self.first.clear()
+        self._clear_out()
         texts = pc.fill_null(texts, "")
         uneven = pc.match_substring_regex(texts, self.uneven)
         if not (n := pc.sum(uneven).as_py()):
@@ -126,42 +128,34 @@ class CachedEncoder:
         """Texts with no white space but single spaces and line feeds (spaced), or but those (otherwise)."""
         if not len(texts):
             return []
-        lists = pc.split_pattern(pc.replace_substring(texts, "\n", " \n" if self.spaced else " "), " ")
-        flat, ends = lists.values, lists.offsets.to_numpy()
-        heads = None
         if self.spaced:
-            heads = flat.take(pa.array(ends[:-1])).to_pylist()
-            self._put(self.first, {h for h in heads if h}, "")
-            tail = np.ones(len(flat), bool)
-            tail[ends[:-1]] = False
-            flat, ends = flat.filter(pa.array(tail)), ends - np.arange(len(ends))
-        numbered = flat.dictionary_encode()
-        found = numbered.dictionary.to_pylist()
-        self._fill(found)
-        known = list(map(self.rest.__getitem__, found))
-        pool = np.frombuffer(b"".join(known), f"<u{self.width}")
-        size = np.fromiter(map(len, known), np.int64, len(known)) // self.width
-        index = numbered.indices.to_numpy()
-        each = size[index]
-        upto = np.concatenate([[0], np.cumsum(each)])
-        at = np.repeat((np.cumsum(size) - size)[index] - upto[:-1], each)
-        at += np.arange(len(at))
-        raw = pool[at].tobytes()
-        cut = (upto[ends] * self.width).tolist()
-        out = [raw[b:e] for b, e in zip(cut, cut[1:], strict=False)]
-        return [self.first[h] + b if h else b for h, b in zip(heads, out, strict=True)] if heads else out
+            lists = pc.split_pattern(pc.replace_substring(pc.replace_substring(texts, " ", f"{_CUT} "), "\n", f"{_CUT}\n"), _CUT)
+        else:
+            lists = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        return self._joined(lists.values, lists.offsets.to_numpy())
 
     def _rows(self, texts: list[str]) -> list[bytes]:
         """Any texts."""
-        split = [(space_segments(t) if self.spaced else words(t)) if t else [] for t in texts]
-        heads = [x[0] if x and self.spaced else "" for x in split]
-        if self.spaced:
-            self._put(self.first, {h for h in heads if h}, "")
-            for x in split:
-                del x[:1]
-        self._fill(set().union(*split))
-        get = self.rest.__getitem__
-        return [(self.first[h] if h else b"") + b"".join(map(get, x)) for h, x in zip(heads, split, strict=True)]
+        flat, ends = [], [0]
+        for t in texts:
+            if self.spaced:
+                first, *more = space_segments(t)
+                flat.append(first)
+                flat += [f" {x}" for x in more]
+            else:
+                flat += words(t)
+            ends.append(len(flat))
+        return self._joined(pa.array(flat, pa.string()), np.array(ends))
+
+    def _joined(self, flat: pa.Array, ends: np.ndarray) -> list[bytes]:
+        """Ids of texts from those of their segments; ends: where each text's segments begin, and the end of the last one's."""
+        numbered = flat.dictionary_encode()
+        ids, size = self._segments(numbered.dictionary)
+        index = numbered.indices.to_numpy()
+        each = size[index]
+        raw = gathered(ids, (np.cumsum(size) - size)[index], each).tobytes()
+        cut = (np.concatenate([[0], np.cumsum(each)])[ends] * self.width).tolist()
+        return [raw[b:e] for b, e in zip(cut, cut[1:], strict=False)]
 
 
 def library_encoder(vocabulary: str, spaced: bool, entries: int = CACHE_ENTRIES) -> CachedEncoder:
@@ -182,37 +176,38 @@ def library_encoder(vocabulary: str, spaced: bool, entries: int = CACHE_ENTRIES)
         return np.array(t.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u2")
 
     between = "\n" if spaced else " | "
-    mark = between.strip(" ")
     opens, borders = np.zeros(65_536, bool), np.zeros(65_536, bool)
     (border,) = ids(between).tolist()
     borders[border] = True
     if spaced:
         space = t.encode(" ", add_special_tokens=False).tokens[0]
         opens[[i for token, i in t.get_vocab().items() if token.startswith(space)]] = True
-
-    def kind(s: str) -> int:
-        """1: one space, then no other space or line feed; 2: no line feed or space (spaced) or bar; 0: goes alone."""
-        if mark in s:
-            return 0
-        if s.rfind(" ") >= 0:
-            return int(s.rfind(" ") == 0 and len(s) > 1 and spaced)
-        return 0 if not s or s[0].isspace() or s[-1].isspace() else 2
-
-    def joint(some: list[str], led: bool) -> Iterator[bytes]:
-        found = ids("".join(some) if led else between.join(["", *some]))
-        at = np.flatnonzero((opens if led else borders)[found])
-        if len(at) != len(some):
-            raise AssertionError("segments can't be told apart")
-        at, raw, skip = [*at.tolist(), len(found)], found.tobytes(), 0 if led else 1
-        return iter([raw[2 * (b + skip) : 2 * e] for b, e in zip(at, at[1:], strict=False)])
-
-    def encode(segments: list[str]) -> Iterable[bytes]:
-        for i in range(0, len(segments), 1024):
-            some = segments[i : i + 1024]
-            kinds = list(map(kind, some))
-            own = [iter(()), *(joint(x, led) if (x := [s for s, k in zip(some, kinds, strict=True) if k == n]) else iter(()) for n, led in ((1, True), (2, False)))]
-            for s, k in zip(some, kinds, strict=True):
-                yield next(own[k]) if k else ids(s).tobytes()
+    edge = f"\n {RARE_SPACE}" + "|" * (not spaced)
+    #: One space, then no other space or line feed; no line feed or space (spaced) or bar, nor white space at either end.
+    led = r"\A [^ \n]+\z" if spaced else None
+    unled = f"\\A[^{edge}](?:[^ \n{'' if spaced else '|'}]*[^{edge}])?\\z"
+
+    def joint(some: pa.Array, opening: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for i in range(0, len(some), 1024):
+            part = some[i : i + 1024].to_pylist()
+            found = ids("".join(part) if opening else between.join(["", *part]))
+            at = np.flatnonzero((opens if opening else borders)[found])
+            if len(at) != len(part) or at[0]:
+                raise AssertionError("segments can't be told apart")
+            size = np.diff(at, append=len(found))
+            yield (found, size) if opening else (np.delete(found, at), size - 1)
+
+    def encode(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        ways = [pc.match_substring_regex(texts, unled).to_numpy(zero_copy_only=False)]
+        ways.insert(0, pc.match_substring_regex(texts, led).to_numpy(zero_copy_only=False) if led else np.zeros(len(texts), bool))
+        ways.append(~(ways[0] | ways[1]))
+        some, others, alone = (texts.filter(pa.array(w)) for w in ways)
+        done = [*joint(some, True), *joint(others, False), *((x := ids(s), np.array([len(x)])) for s in alone.to_pylist())]
+        order = np.concatenate([np.flatnonzero(w) for w in ways])
+        found, sizes = (np.concatenate([d[k] for d in done]) for k in (0, 1))
+        begin, size = np.empty((2, len(texts)), np.int64)
+        begin[order], size[order] = np.cumsum(sizes) - sizes, sizes
+        return gathered(found, begin, size), size
 
     return CachedEncoder(encode, spaced, width=2, entries=entries)
 
